@@ -99,14 +99,19 @@ def exact_quantiles(
     return result
 
 
-def carry_forward_by_id(df: DataFrame, key: str, value: str) -> DataFrame:
+def carry_forward_by_id(
+    df: DataFrame, key: str, value: str, largest: int | None = None
+) -> DataFrame:
     """Fill null ``value`` with the last one at a smaller ``key``; ``key`` is a unique bigint.
 
     Works on the high bits of the key: look back inside a block of 2**21 ids,
     then among the last values of the earlier blocks, the same way. Three
     levels cover a bigint, and no window holds more than 2**22 rows.
+    ``largest`` is the largest absolute key where known; small ids need fewer levels.
     """
-    filled = _last_before(df, key, value, "_before", levels=3)
+    bits = 63 if largest is None else largest.bit_length()
+    levels = min(3, max(1, math.ceil(bits / _DIGIT_BITS)))
+    filled = _last_before(df, key, value, "_before", levels)
     return filled.withColumn(value, F.coalesce(value, "_before")).drop("_before")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame, Window
@@ -173,9 +173,19 @@ def train_forecast(
     rows = log_target(sample_weight(rows, floor))
     if "copies" in rows.columns:
         rows = rows.withColumn("sample_weight", F.col("sample_weight") * F.coalesce("copies", F.lit(1)))
+    inputs = assemble(names)
+    ready = rows
+    for stage in inputs:
+        ready = stage.transform(ready)
+    # The learners pass over the rows many times: keep only the assembled ones.
+    ready = ready.select("features", TARGET, "log_target", "sample_weight", "is_valid").persist()
+    try:
+        fitted = _estimator(candidate, early_stop).fit(ready)
+    finally:
+        ready.unpersist()
     value = "expm1(raw_prediction)" if candidate.log_scale else "raw_prediction"
     finish = SQLTransformer(statement=f"select *, greatest({value}, 0d) as forecast from __THIS__")
-    return Pipeline(stages=[*assemble(names), _estimator(candidate, early_stop), finish]).fit(rows)
+    return PipelineModel([*inputs, fitted, finish])
 
 
 def train_tweedie(

@@ -58,7 +58,9 @@ def item_attributes(props: DataFrame, names: dict[str, str]) -> DataFrame:
     return props.where(F.col("property").isin(*names)).groupBy("itemid").agg(*firsts)
 
 
-def price_ffill(items: DataFrame, scope: str = "global") -> DataFrame:
+def price_ffill(
+    items: DataFrame, scope: str = "global", largest_id: int | None = None
+) -> DataFrame:
     """Price of an unpriced item from the item before it (by id).
 
     Price is constant per item, so filling the item-day table in (item, date)
@@ -67,7 +69,7 @@ def price_ffill(items: DataFrame, scope: str = "global") -> DataFrame:
     """
     if scope == "item":
         return items
-    return carry_forward_by_id(items, "itemid", "price")
+    return carry_forward_by_id(items, "itemid", "price", largest_id)
 
 
 def priced_items(ev: DataFrame, props: DataFrame, scope: str = "global") -> DataFrame:
@@ -77,7 +79,8 @@ def priced_items(ev: DataFrame, props: DataFrame, scope: str = "global") -> Data
     items = seen.join(known, "itemid", "left").withColumn(
         "categoryid", F.col("categoryid").cast("bigint")
     )
-    return price_ffill(items, scope)
+    largest = None if scope == "item" else ev.agg(F.max(F.abs("itemid"))).first()[0]
+    return price_ffill(items, scope, largest)
 
 
 def rolling_sums(

@@ -505,8 +505,14 @@ def _(t):
     return _keyed(M.oversample_low(train), "target_next7")
 
 
+def _written_rows(t: StarTables) -> DataFrame:
+    """Training reads the written feature table, as the batch stages do."""
+    path = tables.write_table(_features(t), scratch_path(t.spark, "forecast_features"))
+    return M.nonzero_target(tables.read_table(t.spark, path))
+
+
 def _scored(t: StarTables, candidate: M.Candidate) -> DataFrame:
-    train, valid = M.temporal_split(_model_rows(t))
+    train, valid = M.temporal_split(_written_rows(t))
     return M.predict(M.train_forecast(train, valid, candidate), valid)
 
 
@@ -540,15 +546,15 @@ def _(t):
 
 @query("saved_model_predict")
 def _(t):
-    train, valid = M.temporal_split(_model_rows(t))
+    train, valid = M.temporal_split(_written_rows(t))
     model = M.train_forecast(train, valid, M.Candidate("poisson"))
     path = tables.save_model(model, scratch_path(t.spark, "model"))
-    return M.predict(tables.load_model([f"{path}-missing", path]), valid)
+    return M.predict(tables.load_model(t.spark, [f"{path}-missing", path]), valid)
 
 
 @query("feature_importance")
 def _(t):
-    train, valid = M.temporal_split(_model_rows(t))
+    train, valid = M.temporal_split(_written_rows(t))
     model = M.train_forecast(train, valid, M.Candidate("trees"))
     return t.spark.createDataFrame(M.feature_importance(model), "feature string, gain double")
 
@@ -556,7 +562,7 @@ def _(t):
 @query("tune_forecast")
 def _(t):
     options = [M.Candidate("tweedie", variance_power=1.1), M.Candidate("tweedie", variance_power=1.5)]
-    results, _ = M.tune_forecast(_model_rows(t), options)
+    results, _ = M.tune_forecast(_written_rows(t), options)
     return _rows(t.spark, results)
 
 

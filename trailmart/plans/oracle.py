@@ -777,12 +777,12 @@ _oracle(
     "tested",
     "best1",
 )
-_view("first_at", "SELECT visitorid, item_idx AS anchor, min(pos) AS at FROM steps GROUP BY 1, 2", "steps")
+_view("first_at", "SELECT visitorid, item_idx AS anchor, min(pos) AS first_pos FROM steps GROUP BY 1, 2", "steps")
 _view(
     "cooc",
     """SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY weight DESC, other) AS rank FROM (
          SELECT anchor, item_idx AS other,
-           round(sum(CASE WHEN pos > at THEN 2.0::DOUBLE ELSE 1 END / (abs(pos - at) + 1)), 9) AS weight
+           round(sum(CASE WHEN pos > first_pos THEN 2.0::DOUBLE ELSE 1 END / (abs(pos - first_pos) + 1)), 9) AS weight
          FROM first_at JOIN steps USING (visitorid) WHERE item_idx <> anchor GROUP BY 1, 2) QUALIFY rank <= 5""",
     "first_at",
 )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,12 +69,9 @@ def save_model(model: PipelineModel, path: str) -> str:
     return path
 
 
-def load_model(paths: list[str]) -> PipelineModel:
+def load_model(spark: SparkSession, paths: list[str]) -> PipelineModel:
     """The first model that exists, in the given order."""
     for path in paths:
-        try:
+        if table_bytes(spark, path) is not None:
             return PipelineModel.load(path)
-        except Py4JJavaError as error:
-            if "does not exist" not in str(error):
-                raise
     raise FileNotFoundError(f"no model at any of {paths}")
