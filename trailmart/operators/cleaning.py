@@ -42,8 +42,12 @@ def dedupe_keyed(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def layout_by_time(df: DataFrame, col: str = "timestamp") -> DataFrame:
-    """Time-ordered files for writing; a range shuffle, no global sort on one task."""
-    return df.repartitionByRange(col).sortWithinPartitions(col)
+    """Time-ordered files for writing, without a global sort on one task.
+
+    The other columns follow in the range key, so that one busy instant can be split too.
+    """
+    order = [col, *[c for c in df.columns if c != col]]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 # events ---------------------------------------------------------------------

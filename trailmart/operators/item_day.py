@@ -192,27 +192,26 @@ def one_hot_dow(day: DataFrame) -> DataFrame:
     return day.withColumns({f"dow_{i}": (F.col("dow") == i).cast("byte") for i in range(7)})
 
 
-def item_days(ev: DataFrame, props: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """Counts with all per-item windows, price and category: one shuffle and sort by item."""
-    day = with_day(daily_item_counts(ev, params.event_columns))
-    day = rolling_sums(day, params.windows)
-    day = sales_lags(day, params.lags)
-    day = target_at(day, params.horizon_days)
-    # Both sides are already hashed by item, so this join adds no shuffle of the days.
-    day = day.join(priced_items(ev, props, params.price_scope), "itemid", "left")
-    return price_change(day)
-
-
 def forecast_features(ev: DataFrame, props: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    day = ratios(item_days(ev, props, params))
-    summary = category_day_summary(day, ("ctr_7d", "buyrate_7d", "sales_sum_7d"))
-    day = day.join(summary, ["categoryid", "date"], "left").withColumns(
+    """The feature table.
+
+    Category figures are joined while rows are still narrow; the many window
+    columns come last, after the only shuffles, so no wide row is ever moved.
+    """
+    counts = with_day(daily_item_counts(ev, params.event_columns))
+    day = counts.join(priced_items(ev, props, params.price_scope), "itemid", "left")
+    week = ratios(rolling_sums(day, (7,)))
+    summary = category_day_summary(week, ("ctr_7d", "buyrate_7d", "sales_sum_7d"))
+    day = day.join(summary, ["categoryid", "date"], "left")
+
+    day = sales_lags(rolling_sums(day, params.windows), params.lags)
+    day = ratios(price_change(target_at(day, params.horizon_days)))
+    zero = F.lit(0.0)
+    day = day.withColumns(
         {
-            "ctr_sm_7d": smoothed(
-                F.coalesce("ctr_7d", F.lit(0.0)), F.col("_mean_ctr_7d"), params.ratio_alpha
-            ),
+            "ctr_sm_7d": smoothed(F.coalesce("ctr_7d", zero), F.col("_mean_ctr_7d"), params.ratio_alpha),
             "buyrate_sm_7d": smoothed(
-                F.coalesce("buyrate_7d", F.lit(0.0)), F.col("_mean_buyrate_7d"), params.ratio_alpha
+                F.coalesce("buyrate_7d", zero), F.col("_mean_buyrate_7d"), params.ratio_alpha
             ),
             "sales_sm_7d": smoothed(
                 F.col("sales_sum_7d"), F.col("_mean_sales_sum_7d"), params.sales_alpha

@@ -112,13 +112,6 @@ def hit_ndcg(scored: DataFrame, k: int = DEFAULTS.top_k) -> DataFrame:
     )
 
 
-def popular_next(seq: DataFrame, k: int = DEFAULTS.top_k) -> DataFrame:
-    """The ``k`` most frequent items as one candidate list, to compare a model with."""
-    counts = seq.select(F.explode("item_seq").alias("next")).groupBy("next").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n"), "next").limit(k)
-    return top.agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("at"), "next")))["next"].alias("top"))
-
-
 # co-occurrence --------------------------------------------------------------
 
 

@@ -222,8 +222,8 @@ _oracle(
 )
 _oracle(
     "clean_properties_stats",
-    """SELECT count(*) AS rows_before, 0 AS rows_dropped_bad_ts,
-       count(*) FILTER (number IS NULL) AS rows_dropped_bad_value, 0 AS rows_dropped_missing_ids,
+    """SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_dropped_bad_ts,
+       count(*) FILTER (number IS NULL) AS rows_dropped_bad_value, CAST(0 AS BIGINT) AS rows_dropped_missing_ids,
        count(*) FILTER (number IS NOT NULL) - (SELECT count(*) FROM props) AS duplicates_dropped,
        (SELECT count(*) FROM props) AS rows_after,
        count(DISTINCT itemid) FILTER (number IS NOT NULL) AS unique_items,
@@ -233,8 +233,8 @@ _oracle(
 _oracle("clean_category", "SELECT categoryid, CAST(parentid AS BIGINT) AS parentid FROM cats", "cats")
 _oracle(
     "clean_category_stats",
-    """SELECT count(*) AS rows_before, 0 AS rows_dropped_missing, 0 AS duplicates_dropped,
-       count(*) AS rows_after, count(DISTINCT categoryid) AS unique_categories, 0 AS unparsable_ids,
+    """SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_dropped_missing, CAST(0 AS BIGINT) AS duplicates_dropped,
+       count(*) AS rows_after, count(DISTINCT categoryid) AS unique_categories, CAST(0 AS BIGINT) AS unparsable_ids,
        count(DISTINCT parentid) AS unique_parents FROM cats""",
     "cats",
 )
