@@ -1,9 +1,4 @@
-"""Exact positions, running totals, fills and quantiles without one-task windows.
-
-A global order is made by Spark's range sort, which splits on the whole sort
-key, and written once. The rows of one sorted partition then only need the
-totals of the partitions before them: one small row per sort partition.
-"""
+"""Exact positions, fills and quantiles without one-task windows."""
 
 from __future__ import annotations
 
@@ -16,18 +11,20 @@ from ..session import materialise
 
 # Fixed value: monotonically_increasing_id keeps the partition number above this many bits.
 _ROW_BITS = 33
+# Bins per look of exact_quantiles.
+_BINS = 2048
 # Ids below one prefix of this width: at most 2**21 rows share a window partition.
 _DIGIT_BITS = 21
 
 
-def _sorted_parts(df: DataFrame, order: list) -> DataFrame:
-    rows = df.sort(*order).select("*", F.monotonically_increasing_id().alias("_row"))
-    return materialise(rows).withColumn("_part", F.shiftright("_row", _ROW_BITS))
-
-
 def with_position(df: DataFrame, order: list, name: str = "position") -> DataFrame:
-    """Dense 1-based position in the given total order."""
-    rows = _sorted_parts(df, order)
+    """Dense 1-based position in the given total order.
+
+    Spark's range sort splits on the whole sort key and is written once; a row
+    then only needs the number of rows in the sorted partitions before its own.
+    """
+    numbered = df.sort(*order).select("*", F.monotonically_increasing_id().alias("_row"))
+    rows = materialise(numbered).withColumn("_part", F.shiftright("_row", _ROW_BITS))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per sort partition, so this window and broadcast are bounded by
     # spark.sql.shuffle.partitions.
@@ -47,58 +44,89 @@ def with_position(df: DataFrame, order: list, name: str = "position") -> DataFra
 def exact_quantiles(
     df: DataFrame, col: str, probs: list[float], weight: str | None = None
 ) -> list[float | None]:
-    """Linear-interpolation quantiles of ``col`` as plain numbers.
+    """Linear-interpolation quantiles of ``col`` as plain numbers, without a sort or shuffle.
 
-    Equal values are counted before the sort, so a value that fills a third of
-    the table is one row; only the sorted partitions that hold a wanted rank
-    are looked into.
+    Counts values in even bins, then looks again only into the bins that hold a
+    wanted rank, from their smallest to their largest value, until a bin is one
+    value or few rows. Each look is one scan with counts folded in every task;
+    the driver sees at most ``_BINS`` rows per wanted rank. A value that fills a
+    third of the table becomes a bin of its own.
     """
-    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    counted = (
-        df.where(F.col(col).isNotNull())
-        .groupBy(F.col(col).cast("double").alias("_v"))
-        .agg(size.alias("_n"))
-    )
-    rows = _sorted_parts(counted, ["_v"])
-    parts = sorted(rows.groupBy("_part").agg(F.sum("_n").alias("n")).collect())
-    total = sum(p.n for p in parts)
-    if not total:
+    return exact_quantiles_of(df, {col: probs}, weight)[col]
+
+
+def exact_quantiles_of(
+    df: DataFrame, wanted: dict[str, list[float]], weight: str | None = None
+) -> dict[str, list[float | None]]:
+    """``exact_quantiles`` of several columns over one kept projection of ``df``."""
+    size = F.lit(1).cast("bigint") if weight is None else F.col(weight)
+    numbers = [F.col(c).cast("double").alias(c) for c in wanted]
+    kept = df.select(*numbers, size.alias("_w")).persist()
+    try:
+        return {
+            c: _quantiles(kept.where(F.col(c).isNotNull()).select(F.col(c).alias("v"), F.col("_w").alias("w")), probs)
+            for c, probs in wanted.items()
+        }
+    finally:
+        kept.unpersist()
+
+
+def _quantiles(values: DataFrame, probs: list[float]) -> list[float | None]:
+    whole = values.agg(F.sum("w").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    if not whole.n:
         return [None] * len(probs)
-
-    wanted = set()
-    for p in probs:
-        low = math.floor(p * (total - 1))
-        wanted |= {low, min(low + 1, total - 1)}
-    start, starts = 0, {}
-    for part in parts:
-        if any(start <= r < start + part.n for r in wanted):
-            starts[part._part] = start
-        start += part.n
-
-    upto = Window.partitionBy("_part").orderBy("_row")
-    first = F.lit(0).cast("bigint")
-    for part, begin in starts.items():
-        first = F.when(F.col("_part") == part, F.lit(begin).cast("bigint")).otherwise(first)
-    spans = rows.where(F.col("_part").isin(list(starts))).select(
-        "_v", "_n", (first + F.sum("_n").over(upto)).alias("_end")
-    )
-    hit = F.lit(False)
-    for r in wanted:
-        hit = hit | ((F.col("_end") - F.col("_n") <= r) & (F.col("_end") > r))
-    found = spans.where(hit).collect()  # at most two rows per probability
-
-    def at(rank: int) -> float:
-        return next(s._v for s in found if s._end - s._n <= rank < s._end)
+    last = whole.n - 1
+    low_ranks = [math.floor(p * last) for p in probs]
+    wanted = sorted({r for low in low_ranks for r in (low, min(low + 1, last))})
+
+    found: dict[int, float] = {}
+    # Open ranges of values: (lowest, highest, rows before, rows inside) -> ranks wanted there.
+    open_ranges = {(whole.lo, whole.hi, 0, whole.n): wanted}
+    while open_ranges:
+        # A range of one value needs no look.
+        for (lo, hi, _, _), ranks in open_ranges.items():
+            if lo == hi:
+                found.update(dict.fromkeys(ranks, lo))
+        open_ranges = {r: ranks for r, ranks in open_ranges.items() if r[0] < r[1]}
+        if not open_ranges:
+            break
+        open_ranges = _look_closer(values, open_ranges)
 
     result = []
-    for p in probs:
-        position = p * (total - 1)
-        low = math.floor(position)
-        a, b, t = at(low), at(min(low + 1, total - 1)), position - low
+    for p, low in zip(probs, low_ranks):
+        a, b, t = found[low], found[min(low + 1, last)], p * last - low
         result.append(a + (b - a) * t if t < 0.5 else b - (b - a) * (1 - t))
     return result
 
 
+def _look_closer(values: DataFrame, open_ranges: dict) -> dict:
+    """The bins of the open ranges that hold the wanted ranks, as new ranges."""
+    spans = list(open_ranges)
+    v, which, bin_no = F.col("v"), F.lit(None).cast("int"), F.lit(None).cast("double")
+    for number, (lo, hi, _, rows) in enumerate(spans):
+        inside = (v >= lo) & (v <= hi)
+        which = F.when(inside, F.lit(number)).otherwise(which)
+        # Few rows: every value is its own bin.
+        spot = v if rows <= _BINS else F.floor((v - lo) / F.lit(hi - lo) * _BINS).cast("double")
+        bin_no = F.when(inside, spot).otherwise(bin_no)
+    bins = (
+        values.select("v", "w", which.alias("span"), bin_no.alias("bin"))
+        .where(F.col("span").isNotNull())
+        .groupBy("span", "bin")
+        .agg(F.sum("w").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        .collect()  # at most _BINS + 1 rows per open range
+    )
+    closer: dict = {}
+    for number, span in enumerate(spans):
+        ranks, before = open_ranges[span], span[2]
+        for b in sorted((b for b in bins if b.span == number), key=lambda b: b.lo):
+            here = [r for r in ranks if before <= r < before + b.n]
+            if here:
+                closer[(b.lo, b.hi, before, b.n)] = here
+            before += b.n
+    return closer
+
+
 def carry_forward_by_id(
     df: DataFrame, key: str, value: str, largest: int | None = None
 ) -> DataFrame:

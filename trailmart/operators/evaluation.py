@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.histograms import equal_width_hist
-from ..functions.ordering import edges_between, exact_quantiles, with_position
+from ..functions.ordering import edges_between, exact_quantiles, exact_quantiles_of, with_position
 from ..functions.scalars import bin_by_edges, bin_right_closed, ratio
 
 ACTUAL, PREDICTED = "sales", "forecast"
@@ -99,8 +99,10 @@ def quantile_matrix(
     those of the actual values; left-closed, values above the top edge (and the
     largest actual) land in bin ``n``, values below the lowest in bin -1.
     """
-    own = quantile_edges(pred, actual, n)
-    other = own if edges_from == "actual" else quantile_edges(pred, predicted, n)
+    cuts = [i / n for i in range(n + 1)]
+    columns = [actual] if edges_from == "actual" else [actual, predicted]
+    edges = exact_quantiles_of(pred, dict.fromkeys(columns, cuts))
+    own, other = edges[actual], edges[columns[-1]]
     place = bin_right_closed if closed == "right" else bin_by_edges
     return (
         pred.where(F.col(actual).isNotNull() & F.col(predicted).isNotNull())

@@ -1,7 +1,7 @@
 """Next-item recommendation from transitions and weighted co-occurrence.
 
 Sequences are capped (50 events), so what one row expands to is bounded; all
-per-row work stays in built-in array functions.
+per-row work stays in built-in functions.
 """
 
 from __future__ import annotations
@@ -122,27 +122,19 @@ def cooccurrence_weights(seq: DataFrame, after_weight: float = 2.0) -> DataFrame
     ``1 / (distance + 1)``, times ``after_weight`` when it comes later. Weights
     are rounded to nine digits so equal sums tie in whatever order they add up.
     """
-    s = F.col("item_seq")
-
-    def around(anchor):
-        at = F.array_position(s, anchor).cast("int") - 1
-        return F.filter(
-            F.transform(
-                s,
-                lambda other, i: F.struct(
-                    anchor.alias("anchor"),
-                    other.alias("other"),
-                    (F.when(i > at, after_weight).otherwise(1.0) / (F.abs(i - at) + 1)).alias("weight"),
-                ),
-            ),
-            lambda pair: pair["anchor"] != pair["other"],
-        )
-
-    pairs = F.flatten(F.transform(F.array_distinct(s), around))
+    # One short sequence becomes up to 2,450 pairs, so use all cores whatever
+    # the size of the input files; the pairs themselves fold before the shuffle.
+    cores = seq.sparkSession.sparkContext.defaultParallelism
+    spread = seq.select("visitorid", F.col("item_seq").alias("_s")).repartition(4 * cores, "visitorid")
+    anchors = spread.select("_s", F.explode(F.array_distinct("_s")).alias("anchor"))
+    placed = anchors.withColumn("_at", F.array_position("_s", F.col("anchor")).cast("int") - 1)
+    pairs = placed.select("anchor", "_at", F.posexplode("_s").alias("_i", "other"))
+    side = F.when(F.col("_i") > F.col("_at"), F.lit(float(after_weight))).otherwise(F.lit(1.0))
+    weight = side / (F.abs(F.col("_i") - F.col("_at")) + 1)
     return (
-        seq.select(F.explode(pairs).alias("p"))
-        .groupBy("p.anchor", "p.other")
-        .agg(F.round(F.sum("p.weight"), 9).alias("weight"))
+        pairs.where(F.col("other") != F.col("anchor"))
+        .groupBy("anchor", "other")
+        .agg(F.round(F.sum(weight), 9).alias("weight"))
     )
 
 
