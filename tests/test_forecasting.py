@@ -73,6 +73,8 @@ def test_tuning_and_gate(spark, features):
     options = [M.Candidate("tweedie", regularisation=50.0), M.Candidate("tweedie", regularisation=0.01)]
     results, best = M.tune_forecast(M.nonzero_target(features), options, n_folds=2)
     assert len(results) == 4 and best == options[1]
+    _, row = M.refit(M.nonzero_target(features), best)
+    assert row["scored_on"] == "in_sample" and 0 < row["wmape"] < 0.3
     scores = spark.createDataFrame([("wmape", 0.1), ("hit_rate", 0.3), ("other", 1.0)], "metric string, value double")
     gate = {r.metric: r.passed for r in M.quality_gate(scores, {"wmape": 0.1}, {"hit_rate": 0.35}).collect()}
     assert gate == {"wmape": True, "hit_rate": False, "other": None}

@@ -92,6 +92,13 @@ def test_forecast_features(shop):
     assert (got[1, 1].dow_0, got[1, 1].dow_1, got[1, 1].is_weekend, got[1, 1].weekofyear) == (1, 0, 0, 1)
 
 
+def test_further_events_are_kept_as_counts(events, properties):
+    ev = events(sales(1, 1) + sales(1, 1, 2, "removefromcart"))
+    columns = {**Params().event_columns, "removefromcart": "removefromcart"}
+    f = D.forecast_features(ev, properties([]), replace(Params(), event_columns=columns))
+    assert rows_of(f, "removefromcart", "sales_sum_3d") == [(2, 1.0)]
+
+
 def test_item_scope_parameter(shop):
     f = D.forecast_features(*shop, replace(Params(), price_scope="item"))
     assert {r.itemid: r.price for r in f.collect()}[3] is None

@@ -49,6 +49,9 @@ def test_insights(mart):
     assert lines[9].startswith("Model Quality: Excellent")
     assert lines[10] == "Prediction Error: 13.8% average error rate"
     assert lines[11] == "Sales Trend: Growing at $7.50 per day"
+    assert [r.insight for r in B.insights(mart.where("false")).collect()] == [
+        "No data available for analysis."
+    ]
     one_day = B.insights(mart.where("date = '2024-01-01'"))
     assert 11 not in {r.position for r in one_day.collect()}
 

@@ -42,7 +42,7 @@ def with_position(df: DataFrame, order: list, name: str = "position") -> DataFra
 
 
 def exact_quantiles(
-    df: DataFrame, col: str, probs: list[float], weight: str | None = None
+    df: DataFrame, col: str, probs: list[float], weight: str | None = None, keep: bool = True
 ) -> list[float | None]:
     """Linear-interpolation quantiles of ``col`` as plain numbers, without a sort or shuffle.
 
@@ -50,25 +50,30 @@ def exact_quantiles(
     wanted rank, from their smallest to their largest value, until a bin is one
     value or few rows. Each look is one scan with counts folded in every task;
     the driver sees at most ``_BINS`` rows per wanted rank. A value that fills a
-    third of the table becomes a bin of its own.
+    third of the table becomes a bin of its own. ``keep=False`` when ``df`` is
+    persisted or cheap to read again.
     """
-    return exact_quantiles_of(df, {col: probs}, weight)[col]
+    return exact_quantiles_of(df, {col: probs}, weight, keep)[col]
 
 
 def exact_quantiles_of(
-    df: DataFrame, wanted: dict[str, list[float]], weight: str | None = None
+    df: DataFrame, wanted: dict[str, list[float]], weight: str | None = None, keep: bool = True
 ) -> dict[str, list[float | None]]:
     """``exact_quantiles`` of several columns over one kept projection of ``df``."""
     size = F.lit(1).cast("bigint") if weight is None else F.col(weight)
     numbers = [F.col(c).cast("double").alias(c) for c in wanted]
-    kept = df.select(*numbers, size.alias("_w")).persist()
+    kept = df.select(*numbers, size.alias("_w"))
+    if keep:
+        kept.persist()
+    result = {}
     try:
-        return {
-            c: _quantiles(kept.where(F.col(c).isNotNull()).select(F.col(c).alias("v"), F.col("_w").alias("w")), probs)
-            for c, probs in wanted.items()
-        }
+        for c, probs in wanted.items():
+            values = kept.where(F.col(c).isNotNull()).select(F.col(c).alias("v"), F.col("_w").alias("w"))
+            result[c] = _quantiles(values, probs)
     finally:
-        kept.unpersist()
+        if keep:
+            kept.unpersist()
+    return result
 
 
 def _quantiles(values: DataFrame, probs: list[float]) -> list[float | None]:

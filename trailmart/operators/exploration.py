@@ -328,12 +328,15 @@ def gap_hist(ev: DataFrame, edges: list[float] = GAP_EDGES) -> DataFrame:
 
 def gap_stats(ev: DataFrame) -> DataFrame:
     """Median gap and the share of all gaps of at most a minute."""
-    gaps = inter_event_gaps(ev)
-    median = exact_quantiles(gaps, "gap_seconds", [0.5], weight="pairs")[0]
+    gaps = inter_event_gaps(ev).select("gap_seconds", "pairs").persist()
     quick = F.sum(F.when(F.col("gap_seconds") <= 60, F.col("pairs")).otherwise(0))
-    return gaps.agg(
-        F.lit(median).alias("median_gap_seconds"), (quick / F.sum("pairs")).alias("share_within_minute")
-    )
+    try:
+        share = gaps.agg((quick / F.sum("pairs")).alias("share")).first().share
+        median = exact_quantiles(gaps, "gap_seconds", [0.5], weight="pairs", keep=False)[0]
+    finally:
+        gaps.unpersist()
+    report = "median_gap_seconds double, share_within_minute double"
+    return ev.sparkSession.createDataFrame([(median, share)], report)
 
 
 def eda_summary(ev: DataFrame) -> DataFrame:

@@ -229,9 +229,7 @@ def tune_forecast(
             train = oversample_low(folded.where(F.col("block") < fold), as_weight=True)
             valid = folded.where(F.col("block") == fold)
             model = train_forecast(train, valid, candidate, DEFAULTS.weight_floor_tuned)
-            results.append(
-                {"candidate": number, "fold": fold, "wmape": score(model, valid), **asdict(candidate)}
-            )
+            results.append(_scored_row(number, candidate, "holdout", fold, score(model, valid)))
     folded.unpersist()
 
     def mean(number: int) -> float:
@@ -242,6 +240,18 @@ def tune_forecast(
     return results, candidates[best]
 
 
+def refit(f: DataFrame, best: Candidate) -> tuple[PipelineModel, dict]:
+    """The best candidate fitted on all rows, with its in-sample score, labelled as such."""
+    model = train_forecast(f, None, best, DEFAULTS.weight_floor_tuned)
+    return model, _scored_row(None, best, "in_sample", None, score(model, f))
+
+
+def _scored_row(number, candidate: Candidate, scored_on: str, fold, wmape) -> dict:
+    return {
+        "candidate": number, "scored_on": scored_on, "fold": fold, "wmape": wmape, **asdict(candidate)
+    }
+
+
 def quality_gate(metrics: DataFrame, at_most: dict[str, float], at_least: dict[str, float]) -> DataFrame:
     """(metric, value) rows with their limit and whether they pass; others have none."""
     limit, passed = F.lit(None).cast("double"), F.lit(None).cast("boolean")

@@ -88,6 +88,7 @@ def insights(mart: DataFrame, metrics: DataFrame | None = None) -> DataFrame:
             (4, "Lowest Sales Day: %s with $%,.2f", ["worst_day", "worst_sales"]),
             (8, "Average Transaction: $%.2f per item sale", ["avg_sale"]),
             (11, "Sales Trend: %s at $%.2f per day", ["direction", "steepness"]),
+            (12, "%s", ["warning"]),
         )
     )
     categories = _best_of(mart, "categoryid").select(
@@ -162,6 +163,7 @@ def _day_report(mart: DataFrame) -> DataFrame:
         F.col("w.sales").alias("worst_sales"),
         F.when(F.col("slope").isNotNull(), F.when(F.col("slope") > 0, "Growing").otherwise("Declining")).alias("direction"),
         F.abs("slope").alias("steepness"),
+        F.when(F.col("rows").isNull(), "No data available for analysis.").alias("warning"),
     )
 
 

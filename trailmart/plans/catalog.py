@@ -562,8 +562,10 @@ def _(t):
 @query("tune_forecast")
 def _(t):
     options = [M.Candidate("tweedie", variance_power=1.1), M.Candidate("tweedie", variance_power=1.5)]
-    results, _ = M.tune_forecast(_written_rows(t), options)
-    return _rows(t.spark, results)
+    rows = _written_rows(t)
+    results, best = M.tune_forecast(rows, options)
+    _, in_sample = M.refit(rows, best)
+    return _rows(t.spark, [*results, in_sample])
 
 
 @query("quality_gate")
