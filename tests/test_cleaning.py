@@ -70,6 +70,7 @@ def test_clean_events_stats_add_up(spark):
     assert s.duplicates_dropped == 1
     assert s.rows_after == 3 == C.clean_events(raw(spark)).count()
     assert (s.unique_visitors, s.unique_items) == (2, 2)
+    assert C.clean_events_stats(raw(spark), approx=True).first().unique_visitors == 2
     assert (str(s.date_min), str(s.date_max)) == ("1970-01-01", "1970-01-02")
 
 

@@ -64,7 +64,7 @@ def test_every_query_is_registered_with_sql_or_reason():
     # Fitted models, tuning tables and the inverse normal have no SQL form.
     assert set(QUERIES) - set(ORACLES) == {
         "train_forecast", "train_forecast_trees", "train_tweedie", "predict", "saved_model_predict",
-        "feature_importance", "tune_forecast", "qq_points", "tune_reco", "training_curve",
+        "feature_importance", "tune_forecast", "qq_points",
     }
     assert set(ORACLES) <= set(QUERIES)
 

@@ -80,6 +80,7 @@ def insights(mart: DataFrame, metrics: DataFrame | None = None) -> DataFrame:
     Three passes over the mart (by day, category and item), each folded to one
     row. ``metrics`` (one row with r2 and mape) adds two sentences on the model.
     """
+    # The wording and number formats of the sentences.
     days = _day_report(mart).select(
         _sentences(
             (1, "Total Revenue: $%,.2f across %,d transactions", ["total", "rows"]),

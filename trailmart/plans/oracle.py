@@ -739,10 +739,10 @@ _view("goal", "SELECT visitorid, item_idx AS target FROM sized WHERE len >= 2 AN
 _oracle("leave_last_out", "SELECT visitorid, history, target FROM held JOIN goal USING (visitorid)", "held", "goal")
 
 
-def _follow(window: int, decay: float) -> str:
+def _follow(window: int, decay: float, visitors: str = "train") -> str:
     return f"""SELECT a.item_idx AS item, b.item_idx AS next, round(sum(CAST({decay} AS DOUBLE) ** (b.pos - a.pos - 1)), 9) AS score, count(*) AS n
                FROM steps a JOIN steps b ON b.visitorid = a.visitorid AND b.pos BETWEEN a.pos + 1 AND a.pos + {window}
-               JOIN split s ON s.visitorid = a.visitorid WHERE train GROUP BY 1, 2"""
+               JOIN split s ON s.visitorid = a.visitorid WHERE {visitors} GROUP BY 1, 2"""
 
 
 _view("follow1", _follow(1, 0.5), "split")
@@ -777,6 +777,39 @@ _oracle(
     "tested",
     "best1",
 )
+_view("everyone", "SELECT visitorid, target, last_item FROM held JOIN goal USING (visitorid)", "held", "goal")
+_trials = [(1, 0.5), (3, 0.5), (5, 0.8)]
+for _i, (_window, _decay) in enumerate(_trials):
+    for _kind, _who, _asked in (("holdout", "train", "tested"), ("in_sample", "TRUE", "everyone")):
+        _view(f"trial{_i}_{_kind}_follow", _follow(_window, _decay, _who), "split")
+        _view(
+            f"trial{_i}_{_kind}",
+            f"""SELECT {_i} AS candidate, '{_kind}' AS scored_on, avg(CASE WHEN rank IS NULL THEN 0 ELSE 1 END) AS hit_rate,
+                avg(coalesce(1 / log2(rank + 1), 0)) AS ndcg, {_window} AS "window", {_decay} AS decay
+                FROM {_asked} LEFT JOIN ({_BEST.format(f'trial{_i}_{_kind}_follow')}) ON item = last_item AND next = target""",
+            f"trial{_i}_{_kind}_follow",
+            _asked,
+        )
+_view(
+    "trials",
+    " UNION ALL ".join(f"SELECT * FROM trial{i}_{k}" for i in range(len(_trials)) for k in ("holdout", "in_sample")),
+    *[f"trial{i}_{k}" for i in range(len(_trials)) for k in ("holdout", "in_sample")],
+)
+_oracle(
+    "tune_reco",
+    f"""SELECT CAST(candidate AS BIGINT) AS candidate, scored_on, {_r('hit_rate')} AS hit_rate, {_r('ndcg')} AS ndcg,
+        CAST("window" AS BIGINT) AS "window", CAST(decay AS DOUBLE) AS decay, CAST(50 AS BIGINT) AS history,
+        CAST(0.8 AS DOUBLE) AS train_share FROM trials
+        WHERE scored_on = 'holdout'
+           OR candidate = (SELECT candidate FROM trials WHERE scored_on = 'holdout' ORDER BY ndcg DESC, candidate LIMIT 1)""",
+    "trials",
+)
+_oracle(
+    "training_curve",
+    f"""SELECT CAST(candidate AS BIGINT) AS iteration, {_r('hit_rate')} AS hit_rate, {_r('ndcg')} AS ndcg,
+        {_r('max(ndcg) OVER (ORDER BY candidate)')} AS best_ndcg FROM trials WHERE scored_on = 'holdout'""",
+    "trials",
+)
 _view("first_at", "SELECT visitorid, item_idx AS anchor, min(pos) AS first_pos FROM steps GROUP BY 1, 2", "steps")
 _view(
     "cooc",
