@@ -29,9 +29,10 @@ def ratio(top: Column | str, bottom: Column | str) -> Column:
     return _col(top).cast("double") / F.nullif(_col(bottom).cast("double"), F.lit(0.0))
 
 
-def cents(col: Column | str) -> Column:
-    """Two decimals, half to even on the scaled value, as NumPy rounds."""
-    return F.rint(_col(col) * 100) / 100
+def rounded(col: Column | str, digits: int = 2) -> Column:
+    """Half to even on the scaled value, as NumPy rounds; plain double arithmetic."""
+    scale = F.lit(float(10**digits))
+    return F.rint(_col(col) * scale) / scale
 
 
 def time_block(col: Column | str, seconds: int) -> Column:

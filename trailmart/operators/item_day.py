@@ -91,19 +91,18 @@ def rolling_sums(
     """Sum of the current and the ``n - 1`` rows before it.
 
     Taken as the difference of two running totals, which are exact for counts:
-    the work per row does not grow with the window, as it would in a sliding frame.
+    a growing frame costs the same per row however long the window is, where a
+    sliding frame adds up all its rows again.
     """
+    start = Window.unboundedPreceding
     w = item_window()
-    totals = [
-        F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_total_{c}") for c in cols
-    ]
-    sums = [
-        (F.col(f"_total_{c}") - F.lag(f"_total_{c}", n, 0).over(w)).cast("double").alias(f"{c}_sum_{n}d")
-        for n in windows
-        for c in cols
-    ]
-    day = with_day(day)
-    return day.select("*", *totals).select(*day.columns, *sums)
+
+    def window_sum(c: str, n: int):
+        earlier = F.coalesce(F.sum(c).over(w.rowsBetween(start, -n)), F.lit(0))
+        return (F.sum(c).over(w.rowsBetween(start, 0)) - earlier).cast("double")
+
+    sums = [window_sum(c, n).alias(f"{c}_sum_{n}d") for n in windows for c in cols]
+    return with_day(day).select("*", *sums)
 
 
 def sales_lags(day: DataFrame, lags: tuple[int, ...] = DEFAULTS.lags) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.histograms import fixed_hist, frequency_hist
-from ..functions.scalars import cents, ratio
+from ..functions.scalars import ratio, rounded
 from .recommending import cooccurrence, reco_confidence
 
 
@@ -41,19 +41,18 @@ def daily_revenue(mart: DataFrame) -> DataFrame:
 def performance(mart: DataFrame, by: str) -> DataFrame:
     """Sum, count and mean of sales per key, to the cent."""
     # The sum goes to cents first, so the mean does not depend on the order of addition.
-    total = F.round(F.sum("sales"), 2)
+    total = rounded(F.sum("sales"))
     return mart.where(F.col(by).isNotNull()).groupBy(by).agg(
         total.alias("total_sales"),
         F.count("sales").alias("transactions"),
-        cents(total / F.nullif(F.count("sales"), F.lit(0))).alias("avg_sale"),
+        rounded(total / F.nullif(F.count("sales"), F.lit(0))).alias("avg_sale"),
     )
 
 
 def best_worst_day(mart: DataFrame) -> DataFrame:
     """Mean daily total with the best and the worst day; the earliest of equals."""
     # Cents, so that equal totals tie whatever the order they were added in.
-    total = F.round("sales", 2)
-    daily = daily_revenue(mart).select("date", total.alias("sales"))
+    daily = daily_revenue(mart).select("date", rounded("sales").alias("sales"))
     best = F.min(F.struct((-F.col("sales")).alias("minus"), "date", "sales"))
     worst = F.min(F.struct("sales", "date"))
     return daily.agg(
@@ -137,7 +136,7 @@ def _day_report(mart: DataFrame) -> DataFrame:
     """Totals, best and worst day and trend in one row, from one row per day."""
     daily = mart.groupBy("date").agg(
         F.sum("sales").alias("exact"),
-        F.round(F.sum("sales"), 2).alias("sales"),
+        rounded(F.sum("sales")).alias("sales"),
         F.count(F.lit(1)).alias("rows"),
         F.count("sales").alias("priced"),
     )
@@ -385,7 +384,7 @@ def top_products_in_category(mart: DataFrame, k: int = 5) -> DataFrame:
     totals = (
         mart.where(F.col("categoryid").isNotNull())
         .groupBy("categoryid", "itemid")
-        .agg(F.round(F.sum("sales"), 2).alias("sales"))
+        .agg(rounded(F.sum("sales")).alias("sales"))
     )
     best = Window.partitionBy("categoryid").orderBy(F.desc("sales"), "itemid")
     return totals.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -11,6 +11,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import rounded
 from ..params import Params
 
 DEFAULTS = Params()
@@ -71,7 +72,7 @@ def transitions(seq: DataFrame, window: int = 1, decay: float = 0.5, history: in
     return (
         rows.select(F.explode(steps).alias("t"))
         .groupBy("t.item", "t.next")
-        .agg(F.round(F.sum("t.score"), 9).alias("score"), F.count(F.lit(1)).alias("n"))
+        .agg(rounded(F.sum("t.score"), 9).alias("score"), F.count(F.lit(1)).alias("n"))
     )
 
 
@@ -134,7 +135,7 @@ def cooccurrence_weights(seq: DataFrame, after_weight: float = 2.0) -> DataFrame
     return (
         pairs.where(F.col("other") != F.col("anchor"))
         .groupBy("anchor", "other")
-        .agg(F.round(F.sum(weight), 9).alias("weight"))
+        .agg(rounded(F.sum(weight), 9).alias("weight"))
     )
 
 

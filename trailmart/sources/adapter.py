@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import rounded
 from ..operators.cleaning import clean_category, clean_properties, event_whitelist
 from ..operators.sequences import reco_sequences
 
@@ -106,12 +107,12 @@ class StarTables:
         daily = (
             self.table("lineitem")
             .groupBy(F.col("l_partkey").alias("itemid"), F.to_date("l_shipdate").alias("date"))
-            .agg(F.round(F.sum("l_extendedprice"), 2).alias("sales"))
+            .agg(rounded(F.sum("l_extendedprice")).alias("sales"))
         )
         before = Window.partitionBy("itemid").orderBy("date").rowsBetween(-7, -1)
         recent = F.coalesce(F.avg("sales").over(before), F.lit(0.0))
         return (
-            daily.withColumn("forecast", F.round(recent, 4))
+            daily.withColumn("forecast", rounded(recent, 4))
             .join(parts, "itemid", "left")
             .select("itemid", "date", "categoryid", "sales", "forecast")
         )
