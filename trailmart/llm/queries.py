@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, licences
+from . import bpe, exact, licences, secrets_scan
 from .frames import table
 
 
@@ -18,6 +18,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.decisions(table(spark, sf_dir, "documents"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_scan.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -25,6 +29,7 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_secrets": op9_secrets,
     "op10_licences": op10_licences,
 }
 
