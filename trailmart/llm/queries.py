@@ -5,11 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, exact, licences, secrets_scan
+from . import bpe, exact, licences, secrets_scan, sharding
 from .frames import table
 
 
+def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shards(table(spark, sf_dir, "documents"), leaves=40)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -27,6 +35,7 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_shards": op3_shards,
     "op5_bpe": op5_bpe,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_secrets": op9_secrets,
