@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, licences, secrets_scan, sharding
+from . import bpe, exact, licences, packing, secrets_scan, sharding
 from .frames import table
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shards(table(spark, sf_dir, "documents"), leaves=40)
     return placed.select(
@@ -35,6 +39,7 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op3_shards": op3_shards,
     "op5_bpe": op5_bpe,
     "op6_exact_dedup": op6_exact_dedup,
