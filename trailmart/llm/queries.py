@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, licences, packing, secrets_scan, sharding
+from . import bpe, exact, licences, packing, secrets_scan, sharding, toxicity
 from .frames import table
 
 
@@ -30,6 +30,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.decisions(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_scan.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_shards": op3_shards,
     "op5_bpe": op5_bpe,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_toxicity": op7_toxicity,
     "op9_secrets": op9_secrets,
     "op10_licences": op10_licences,
 }
