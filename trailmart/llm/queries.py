@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, licences, packing, secrets_scan, sharding, toxicity
+from . import bpe, exact, licences, packing, secrets_scan, sharding, simhash, toxicity
 from .frames import table
 
 
@@ -34,6 +34,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.spelled(F.col("code")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_scan.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_simhash": op8_simhash,
     "op9_secrets": op9_secrets,
     "op10_licences": op10_licences,
 }
