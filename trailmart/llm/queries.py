@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, licences, packing, secrets_scan, sharding, simhash, toxicity
+from . import bpe, exact, itq, licences, packing, secrets_scan, sharding, simhash, toxicity
 from .frames import table
 
 
@@ -22,6 +22,10 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_shards": op3_shards,
+    "op4_embeddings": op4_embeddings,
     "op5_bpe": op5_bpe,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_toxicity": op7_toxicity,
