@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, itq, licences, packing, secrets_scan, sharding, simhash, toxicity
+from . import bpe, exact, itq, licences, ngram, packing, secrets_scan, sharding, simhash, toxicity
 from .frames import table
 
 
@@ -15,6 +15,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram.scored(table(spark, sf_dir, "documents"))
+
+
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shards(table(spark, sf_dir, "documents"), leaves=40)
     return placed.select(
@@ -53,6 +57,7 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_language_model": op2_language_model,
     "op3_shards": op3_shards,
     "op4_embeddings": op4_embeddings,
     "op5_bpe": op5_bpe,
