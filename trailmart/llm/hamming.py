@@ -1,4 +1,4 @@
-"""Pairs of 64-bit codes that agree, up to a few bits, in one of several groups of bits.
+"""Pairs of codes of 64 bits, or of several such words, that agree, up to a few bits, in one of several groups of bits.
 
 Every code goes to the bucket of its bits in each group, and as a guest to the buckets that differ in up to
 the group's radius (upwards only, so a pair meets once). Buckets are shuffled and sorted; a task walks over
@@ -35,14 +35,16 @@ class Group:
     bits: tuple[int, ...]
     radius: int
 
-    @property
-    def mask(self) -> int:
-        return sum(1 << b for b in self.bits)
+    def mask(self, words: int) -> np.ndarray:
+        out = [0] * words
+        for b in self.bits:
+            out[b >> 6] |= 1 << (b & 63)
+        return np.array(out, np.uint64)
 
     def values(self, codes: np.ndarray) -> np.ndarray:
         out = np.zeros(len(codes), np.int64)
         for i, b in enumerate(self.bits):
-            out |= ((codes >> np.uint64(b)) & np.uint64(1)).astype(np.int64) << i
+            out |= ((codes[:, b >> 6] >> np.uint64(b & 63)) & np.uint64(1)).astype(np.int64) << i
         return out
 
     def flips(self) -> list[int]:
@@ -51,7 +53,16 @@ class Group:
 
 
 def codes_of(column: pa.Array) -> np.ndarray:
-    return column.to_numpy(zero_copy_only=False).view(np.uint64)
+    """Codes as rows of 64-bit words; the column holds whole numbers, or binary values of one length."""
+    if pa.types.is_integer(column.type):
+        return column.to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, 1)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
+
+
+def bits_set(words: np.ndarray) -> np.ndarray:
+    if words.shape[1] == 1:
+        return np.bitwise_count(words[:, 0])
+    return np.bitwise_count(words).sum(axis=1, dtype=np.int64)
 
 
 def merged(n: int, left: np.ndarray, right: np.ndarray, label: np.ndarray) -> np.ndarray:
@@ -135,7 +146,6 @@ def linked(
     reads: given the columns of a run of rows it returns a test of row numbers against row numbers. Rows of one
     node must be summed over; the pairs (node, other) join all that is linked.
     """
-    masks = [(np.uint64(g.mask), g.radius) for g in groups]
     keys = ["part", "bucket", "low", "high"]
 
     def compare(table: pa.Table) -> pa.RecordBatch | None:
@@ -150,13 +160,16 @@ def linked(
         node = table.column("node").to_numpy()
         weight = table.column("size").to_numpy()
         codes = codes_of(table.column("code").combine_chunks())
+        words = codes.shape[1]
+        masks = [(g.mask(words), g.radius) for g in groups]
+        at_once = PAIRS_AT_ONCE // words
         test = verify({c: table.column(c).combine_chunks() for c in table.column_names}) if verify else None
         label, links = np.arange(n), np.zeros(n, np.int64)
         total = np.cumsum(later)
         begin = 0
         while begin < n:
             before = total[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(total, before + PAIRS_AT_ONCE, "right")))
+            end = max(begin + 1, int(np.searchsorted(total, before + at_once, "right")))
             count = later[begin:end]
             i = np.repeat(np.arange(begin, end), count)
             j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
@@ -164,10 +177,12 @@ def linked(
             good = (home[i] | home[j]) & ((low[i] == high[i]) | (block[i] != block[j]))
             i, j = i[good], j[good]
             apart = codes[i] ^ codes[j]
-            good = np.bitwise_count(apart) <= most_bits
+            good = bits_set(apart) <= most_bits
+            i, j, apart = i[good], j[good], apart[good]
+            good = np.ones(len(i), bool)
             for p, (mask, radius) in enumerate(masks):  # met before in an earlier group
                 if radius >= 0:
-                    good &= ~((part[i] > p) & (np.bitwise_count(apart & mask) <= radius))
+                    good &= ~((part[i] > p) & (bits_set(apart & mask) <= radius))
             i, j = i[good], j[good]
             if test is not None and len(i):
                 good = test(i, j)

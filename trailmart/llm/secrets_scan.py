@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import written
+from .frames import fresh, written
 
 # The base patterns, and the least length of what counts.
 ASSIGN = (
@@ -232,40 +232,47 @@ def thresholds(found: DataFrame, rate: float = FALSE_DISCOVERIES) -> DataFrame:
     return ranked.where(good).groupBy("encoding", "band").agg(F.min("grade").alias("least"))
 
 
-ADDED = ("n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans")
-
-
-def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None, rate: float = FALSE_DISCOVERIES) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with counts and spans; each text is read once."""
-    carried = [c for c in (docs.columns if keep is None else keep) if c.lower() not in (*ADDED, "found")]
-    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+def found_in(text: Column) -> Column:
+    """Base spans and candidates of a text."""
     base = F.concat(
-        spans(whole, ASSIGN, "assign", 2, ASSIGN_VALUE),
-        spans(whole, ACCESS, "access"),
-        spans(whole, HEX, "hex"),
+        spans(text, ASSIGN, "assign", 2, ASSIGN_VALUE),
+        spans(text, ACCESS, "access"),
+        spans(text, HEX, "hex"),
     )
     slim = F.transform(base, lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"]))
-    found = written(
-        docs.select(*carried, F.struct(slim.alias("base"), candidates(whole).alias("candidates")).alias("found")),
-        "secrets",
-    )
-    # At most one row for each encoding and power of two.
+    return F.struct(slim.alias("base"), candidates(text).alias("candidates"))
+
+
+def accepted(found: DataFrame, rate: float) -> Callable[[Column], Column]:
+    """The added spans of a ``found`` value. The rule holds one number for each encoding and power of two."""
     least = {(r.encoding, r.band): r.least for r in thresholds(found, rate).collect()}
 
-    def accepted(c):
+    def good(c):
         hit = F.lit(False)
         for (encoding, band), grade in sorted(least.items()):
             hit = hit | ((c["encoding"] == encoding) & (c["band"] == band) & (c["grade"] >= grade))
         return hit
 
-    random_rank = KINDS.index("random")
-    added = F.transform(
-        F.filter("found.candidates", accepted),
-        lambda c: F.struct(
-            c["start"].alias("start"), F.lit(random_rank).alias("rank"), c["end"].alias("end"), F.lit("random").alias("kind")
-        ),
+    rank = F.lit(KINDS.index("random"))
+    return lambda value: F.transform(
+        F.filter(value["candidates"], good),
+        lambda c: F.struct(c["start"].alias("start"), rank.alias("rank"), c["end"].alias("end"), F.lit("random").alias("kind")),
     )
 
+
+ADDED = ("n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans")
+
+
+def _whole(text: str) -> Column:
+    return F.coalesce(F.col(text).cast("string"), F.lit(""))
+
+
+def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None, rate: float = FALSE_DISCOVERIES) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with counts and spans; each text is read once."""
+    carried = [c for c in (docs.columns if keep is None else keep) if c.lower() not in (*ADDED, "found")]
+    found = written(docs.select(*carried, found_in(_whole(text)).alias("found")), "secrets")
+    added = accepted(found, rate)(F.col("found"))
+
     def listed(array):
         return F.array_join(
             F.transform(
@@ -287,3 +294,39 @@ def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None, rat
         F.sha2(listed(F.col("found.base")), 256).alias("base_sha256"),
         listed(F.concat(F.col("found.base"), added)).alias("spans"),
     )
+
+
+MASK = "<secret>"
+
+
+def redacted(docs: DataFrame, text: str = "text", length: str | None = "n_chars", rate: float = FALSE_DISCOVERIES) -> DataFrame:
+    """``docs`` with every span, overlapping ones together, replaced by ``MASK``; ``length`` follows the text.
+
+    The columns and rows stay as they are, and texts without a span are not touched, nulls included. The
+    texts are scanned twice, once for the corpus-wide rule, so that no text is written in between.
+    """
+    rule = accepted(docs.select(found_in(_whole(text)).alias("found")), rate)
+
+    def masked(value):
+        ordered = F.array_sort(F.transform(F.concat(value["base"], rule(value)), lambda s: F.struct(s["start"], s["end"])))
+        start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("parts"))
+
+        def step(acc, s):
+            whole = F.col(text)
+            piece = F.when(s["start"] >= acc["at"], F.concat(F.substring(whole, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(MASK)))
+            parts = F.when(piece.isNull(), acc["parts"]).otherwise(F.concat(acc["parts"], F.array(piece)))
+            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), parts.alias("parts"))
+
+        def finish(acc):
+            rest = F.substring(F.col(text), (acc["at"] + 1).cast("int"), F.length(text))
+            return F.concat(F.array_join(acc["parts"], ""), rest)
+
+        return F.when(F.size(ordered) > 0, F.aggregate(ordered, start, step, finish)).otherwise(F.col(text))
+
+    new = fresh(docs, "_masked")
+    out = docs.withColumn(new, let(found_in(_whole(text)), masked))
+    changed = {text: F.col(new)}
+    if length and length in docs.columns:
+        kind = docs.schema[length].dataType
+        changed[length] = F.when(F.col(new) == F.col(text), F.col(length)).otherwise(F.length(new).cast(kind))
+    return out.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])

@@ -15,6 +15,7 @@ without an id gets the component of the others with its fingerprint, or none. Ot
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .flat import SPACED, boundaries, flat, ragged, slices
+from .flat import BASE, SPACED, boundaries, flat, mixed, ragged, slices
 from .frames import ship, written
 from .hamming import Group, codes_of, linked
 
@@ -34,6 +35,7 @@ SEED = 42
 GROUP_COUNTS = (2, 3, 4, 5)
 #: What a row to probe with costs, in verified candidates.
 PROBE_COST = 30.0
+RECALL = 0.97
 
 
 def shingle_bytes(texts: pa.Array, k: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
@@ -54,53 +56,63 @@ def shingle_bytes(texts: pa.Array, k: int) -> tuple[bytes, np.ndarray, np.ndarra
     return joined.tobytes(), place[first], place[last] + length[last], count
 
 
-def fingerprints_of(texts: pa.Array, k: int = SHINGLE) -> np.ndarray:
+def fingerprints_of(texts: pa.Array, k: int = SHINGLE, words: int = 1, distinct: bool = False) -> np.ndarray:
+    """Fingerprints as rows of ``words`` 64-bit words; with ``distinct`` a repeated shingle counts once."""
     joined, start, end, count = shingle_bytes(texts, k)
     digest = xxhash.xxh64_intdigest
     h = np.array([digest(joined[a:b], SEED) for a, b in zip(start.tolist(), end.tolist())], np.uint64)
-    out = np.zeros(len(count), np.uint64)
+    if distinct and len(h):
+        text = np.repeat(np.arange(len(count)), count)
+        order = np.lexsort((h, text))
+        h, text = h[order], text[order]
+        new = np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1]))
+        h, count = h[new], np.bincount(text[new], minlength=len(count))
+    out = np.zeros((len(count), words), np.uint64)
     some = np.flatnonzero(count)
     if len(some):
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         begin = (np.cumsum(count) - count)[some]
-        ones = np.add.reduceat(bits, begin, axis=0, dtype=np.int32)
-        set_bits = (2 * ones > count[some, None]).astype(np.uint8)
-        out[some] = np.packbits(set_bits, axis=1, bitorder="little").view(np.uint64).ravel()
+        for word in range(words):
+            own = mixed(h + np.uint64(word * BASE % (1 << 64))) if word else h  # further words: the hash mixed anew
+            bits = np.unpackbits(own.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones = np.add.reduceat(bits, begin, axis=0, dtype=np.int32)
+            set_bits = (2 * ones > count[some, None]).astype(np.uint8)
+            out[some, word] = np.packbits(set_bits, axis=1, bitorder="little").view(np.uint64).ravel()
     return out
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE) -> DataFrame:
-    """(key, code): the fingerprint of each whole text."""
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, words: int = 1, distinct: bool = False) -> DataFrame:
+    """(key, code): the fingerprint of each whole text, a number, or bytes if it has several words."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                codes = fingerprints_of(part.column("text"), k)
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(codes.view(np.int64))], names=["key", "code"])
+                codes = fingerprints_of(part.column("text"), k, words, distinct)
+                column = pa.array(codes[:, 0].view(np.int64)) if words == 1 else pa.array([c.tobytes() for c in codes], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("key"), column], names=["key", "code"])
 
     rows = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "key bigint, code bigint")
+    return rows.mapInArrow(run, f"key bigint, code {'bigint' if words == 1 else 'binary'}")
 
 
-def _together(items: DataFrame) -> tuple[int, np.ndarray]:
-    """Number of codes, and how often each two bits are both set: 4,096 sums."""
+def _together(items: DataFrame, bits: int = 64) -> tuple[int, np.ndarray]:
+    """Number of codes, and how often each two bits are both set: one sum for each pair of bits."""
     ship(items.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((64, 64))
+        total = np.zeros((bits, bits))
         for batch in batches:
-            raw = codes_of(batch.column("code")).view(np.uint8).reshape(-1, 8)
-            for begin in range(0, len(raw), 50_000):
-                bits = np.unpackbits(raw[begin : begin + 50_000], axis=1, bitorder="little").astype(np.float32)
-                total += bits.T @ bits
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(4096)), pa.array(total.ravel().astype(np.int64))], names=["at", "n"])
-
-    sums = items.select("code").mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(4096)
-    for r in sums:
+            raw = codes_of(batch.column("code")).view(np.uint8)
+            for begin in range(0, len(raw), 20_000):
+                some = np.unpackbits(raw[begin : begin + 20_000], axis=1, bitorder="little").astype(np.float32)
+                total += some.T @ some
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(bits * bits)), pa.array(total.ravel().astype(np.int64))], names=["at", "n"])
+
+    sums = items.select("code").mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
+    out = np.zeros(bits * bits)
+    for r in sums.collect():
         out[r["at"]] = r.n
-    return items.count(), out.reshape(64, 64)
+    return items.count(), out.reshape(bits, bits)
 
 
 def correlated_groups(n: int, both: np.ndarray, parts: int) -> list[tuple[int, ...]]:
@@ -109,9 +121,9 @@ def correlated_groups(n: int, both: np.ndarray, parts: int) -> list[tuple[int, .
     spread = np.sqrt(np.maximum(share * (1 - share), 1e-9))
     like = np.abs(both / max(n, 1) - np.outer(share, share)) / np.outer(spread, spread)
     np.fill_diagonal(like, 0)
-    left, out = list(range(64)), []
+    left, out = list(range(len(both))), []
     for p in range(parts):
-        width = 64 // parts + (p < 64 % parts)
+        width = len(both) // parts + (p < len(both) % parts)
         group = [max(left, key=lambda b: (like[b, left].sum(), -b))]
         left.remove(group[0])
         while len(group) < width:
@@ -185,15 +197,85 @@ def _choose(n: int, k: int) -> int:
     return out
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, limit: int = MOST_BITS) -> DataFrame:
-    """(key, code, component): fingerprint and smallest key reachable over links of at most ``limit`` bits."""
-    codes = written(fingerprints(docs, key, text, k), "fingerprints")
+def grouped(codes: DataFrame, groups_of, most_bits: int) -> DataFrame:
+    """(key, code, component) of written (key, code) rows; ``groups_of`` plans the search over the classes."""
     classes = codes.groupBy("code").agg(F.min("key").alias("node")).where("node is not null")
     classes = written(classes.select("node", "code", F.lit(1).cast("bigint").alias("size")), "classes")
-    links = linked(classes, plan(classes, limit), limit)
+    links = linked(classes, groups_of(classes), most_bits)
     found = components(links.select(F.col("node").alias("a"), F.col("other").alias("b")))
     named = classes.join(found, "node", "left").select(F.col("code"), F.coalesce("component", "node").alias("component"))
-    return codes.join(named, "code", "left").select(F.col("key").alias(key), "code", "component")
+    return codes.join(named, "code", "left")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, limit: int = MOST_BITS) -> DataFrame:
+    """(key, code, component): fingerprint and smallest key reachable over links of at most ``limit`` bits."""
+    codes = written(fingerprints(docs, key, text, k), "fingerprints")
+    return grouped(codes, lambda classes: plan(classes, limit), limit).select(F.col("key").alias(key), "code", "component")
+
+
+def odds_of_bit(similarity: float) -> float:
+    """Chance that a bit differs between two sets of shingles with this Jaccard similarity."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def plan_for_similarity(items: DataFrame, words: int, similarity: float, recall: float = RECALL) -> list[Group]:
+    """Groups and thresholds that find a pair right at the similarity with the chance ``recall``.
+
+    A pair as far apart as that would need too many bits for the pigeonhole to be certain, so here the same
+    dynamic programme deals out thresholds until the odds that all groups miss are small enough.
+    """
+    n, both = _together(items, 64 * words)
+    share = np.diag(both) / max(n, 1)
+    differ = 2 * share * (1 - share)
+    p = odds_of_bit(similarity)
+    unit = 0.02
+    wanted = math.ceil(-math.log(1 - recall) / unit)
+    choices = []
+    for parts in (c * words for c in (4, 5, 6, 8)):
+        groups = correlated_groups(n, both, parts)
+        # best[s]: least work and thresholds of the groups so far with strength s, in units of -log(odds of a miss).
+        best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
+        for g in groups:
+            met, found = odds_within(differ[list(g)], 1), odds_within(np.full(len(g), p), 1)
+            options = [(0, 0.0, -1)]
+            for t in (0, 1):
+                probes = 1 + t * len(g) / 2
+                options.append((round(-math.log(1 - found[t]) / unit), n * n / 2 * met[t] + PROBE_COST * words * n * probes, t))
+            grown: dict[int, tuple[float, list[int]]] = {}
+            for s, (cost, chosen) in best.items():
+                for gain, work, t in options:
+                    at = min(wanted, s + gain)
+                    entry = (cost + work, [*chosen, t])
+                    if at not in grown or entry < grown[at]:
+                        grown[at] = entry
+            best = grown
+        if wanted in best:
+            choices.append((best[wanted][0], [Group(g, r) for g, r in zip(groups, best[wanted][1])]))
+    return min(choices, key=lambda c: c[0])[1]
+
+
+def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, words: int = 4) -> DataFrame:
+    """(key, code, component) over links of texts whose estimated similarity reaches ``similarity``.
+
+    Fingerprints have ``64 * words`` bits over the distinct shingles. The share of bits that differ estimates
+    the similarity; a pair links up to the share that 19 of 20 pairs right at ``similarity`` stay below.
+    """
+    bits = 64 * words
+    p = odds_of_bit(similarity)
+    most = math.floor(bits * p + 1.645 * math.sqrt(bits * p * (1 - p)))
+    codes = written(fingerprints(docs, key, text, k, words, distinct=True), "fingerprints")
+    found = grouped(codes, lambda classes: plan_for_similarity(classes, words, similarity), most)
+    return found.select(F.col("key").alias(key), "code", "component")
+
+
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, words: int = 4) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the smallest key. Rows without a key stay.
+
+    Only the keys that go are joined; their list is broadcast when adaptive planning finds it small.
+    """
+    gone = similar(docs, key, text, k, similarity, words).where(F.col(key) != F.col("component"))
+    gone = written(gone.select(F.col(key).alias("_gone")).distinct(), "near-copies")
+    return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
 
 
 def spelled(code: Column) -> Column:
