@@ -36,6 +36,9 @@ GROUP_COUNTS = (2, 3, 4, 5)
 #: What a row to probe with costs, in verified candidates.
 PROBE_COST = 30.0
 RECALL = 0.97
+#: Words of the fingerprints that estimate a similarity, and those of them that the search looks at.
+WORDS = 8
+SEARCHED_WORDS = 4
 
 
 def shingle_bytes(texts: pa.Array, k: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
@@ -102,7 +105,7 @@ def _together(items: DataFrame, bits: int = 64) -> tuple[int, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((bits, bits))
         for batch in batches:
-            raw = codes_of(batch.column("code")).view(np.uint8)
+            raw = codes_of(batch.column("code")).view(np.uint8)[:, : bits // 8]
             for begin in range(0, len(raw), 20_000):
                 some = np.unpackbits(raw[begin : begin + 20_000], axis=1, bitorder="little").astype(np.float32)
                 total += some.T @ some
@@ -254,26 +257,27 @@ def plan_for_similarity(items: DataFrame, words: int, similarity: float, recall:
     return min(choices, key=lambda c: c[0])[1]
 
 
-def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, words: int = 4) -> DataFrame:
+def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, words: int = WORDS, searched: int = SEARCHED_WORDS) -> DataFrame:
     """(key, code, component) over links of texts whose estimated similarity reaches ``similarity``.
 
-    Fingerprints have ``64 * words`` bits over the distinct shingles. The share of bits that differ estimates
-    the similarity; a pair links up to the share that 19 of 20 pairs right at ``similarity`` stay below.
+    Fingerprints have ``64 * words`` bits over the distinct shingles; the first ``searched`` words serve the
+    search, all of them the decision. The share of bits that differ estimates the similarity; a pair links up
+    to one standard error beyond the share that ``similarity`` stands for.
     """
     bits = 64 * words
     p = odds_of_bit(similarity)
-    most = math.floor(bits * p + 1.645 * math.sqrt(bits * p * (1 - p)))
+    most = math.floor(bits * p + math.sqrt(bits * p * (1 - p)))
     codes = written(fingerprints(docs, key, text, k, words, distinct=True), "fingerprints")
-    found = grouped(codes, lambda classes: plan_for_similarity(classes, words, similarity), most)
+    found = grouped(codes, lambda classes: plan_for_similarity(classes, searched, similarity), most)
     return found.select(F.col("key").alias(key), "code", "component")
 
 
-def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, words: int = 4) -> DataFrame:
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the smallest key. Rows without a key stay.
 
     Only the keys that go are joined; their list is broadcast when adaptive planning finds it small.
     """
-    gone = similar(docs, key, text, k, similarity, words).where(F.col(key) != F.col("component"))
+    gone = similar(docs, key, text, k, similarity).where(F.col(key) != F.col("component"))
     gone = written(gone.select(F.col(key).alias("_gone")).distinct(), "near-copies")
     return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
 
