@@ -19,6 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .flat import SPACED, boundaries, flat, hashes, ragged, slices
 from .frames import ship
@@ -248,11 +249,15 @@ def per_slice(path: str, text: str, make: Callable) -> Callable:
     return run
 
 
+def with_columns(df: DataFrame, **added: T.DataType) -> T.StructType:
+    return T.StructType([*df.schema.fields, *[T.StructField(n, t) for n, t in added.items()]])
+
+
 def encode(docs: DataFrame, vocab: str | None = None, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the ids of each whole text as an array column ``ids`` (replaced if there is one)."""
     ship(docs.sparkSession)
     rest = docs.drop(ids)
-    schema = rest.schema.add(ids, "array<int>")
+    schema = with_columns(rest, **{ids: T.ArrayType(T.IntegerType())})
 
     def make(enc, rows, flat_ids, at):
         array = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat_ids, pa.int32()))
@@ -265,6 +270,8 @@ def decode(rows: DataFrame, vocab: str | None = None, ids: str = "ids", text: st
     """``rows`` with the text of the ids; null ids give an empty text."""
     ship(rows.sparkSession)
     rest = rows.drop(text)
+    if ids not in rest.columns:
+        raise ValueError(f"no column {ids}")
     path = vocab or vocabulary()
 
     def run(batches):
@@ -273,7 +280,7 @@ def decode(rows: DataFrame, vocab: str | None = None, ids: str = "ids", text: st
             made = [enc.decoded(np.array(x or [], np.int64)).decode() for x in b.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(made, pa.string())], names=[*b.schema.names, text])
 
-    return rest.mapInArrow(run, rest.schema.add(text, "string"))
+    return rest.mapInArrow(run, with_columns(rest, **{text: T.StringType()}))
 
 
 def digests(docs: DataFrame, vocab: str | None = None) -> DataFrame:

@@ -328,5 +328,5 @@ def redacted(docs: DataFrame, text: str = "text", length: str | None = "n_chars"
     changed = {text: F.col(new)}
     if length and length in docs.columns:
         kind = docs.schema[length].dataType
-        changed[length] = F.when(F.col(new) == F.col(text), F.col(length)).otherwise(F.length(new).cast(kind))
+        changed[length] = F.when(F.col(new).eqNullSafe(F.col(text)), F.col(length)).otherwise(F.length(new).cast(kind))
     return out.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])

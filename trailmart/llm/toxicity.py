@@ -31,9 +31,9 @@ from .frames import ship
 
 SAMPLE = 12_000
 WORDS_PER_CATEGORY = 100
-LEAST_TEXTS = 8
+LEAST_TEXTS = 3
 FOLDS = 3
-PENALTY = 1.0
+PENALTY = 0.3
 REJECT = 0.5
 MOST_ROUNDS = 25
 
