@@ -32,8 +32,8 @@ from .elias_fano import EliasFano, pack, unpack
 from .flat import SPACED, boundaries, flat, hashes, mixed, slices
 from .frames import ship, written
 
-SHARD_BYTES = 32_000_000
-RUN_BYTES = 16_000_000
+SHARD_BYTES = 24_000_000
+RUN_BYTES = 6_000_000
 KAPPA = 200.0
 STEPS = 1 << 16
 END = np.uint64(0x243F6A8885A308D3)
@@ -55,7 +55,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     before = np.empty_like(word)
     before[:1] = END
     before[1:] = word[:-1]  # after an end token comes the start of the next text
-    return word, before, np.repeat(np.arange(n), words + 1)
+    return word, before, np.repeat(np.arange(n, dtype=np.int32), words + 1)
 
 
 def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table, np.ndarray, np.ndarray, np.ndarray]]:
@@ -67,7 +67,10 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table, np.
     def joined():
         docs = pa.Table.from_batches([h[0] for h in held])
         shift = np.cumsum([0] + [len(h[0]) for h in held])
-        return number, docs, *[np.concatenate([h[i] for h in held]) for i in (1, 2)], np.concatenate([h[3] + s for h, s in zip(held, shift)])
+        text = np.concatenate([h[3] + np.int32(s) for h, s in zip(held, shift)])
+        word, before = (np.concatenate([h[i] for h in held]) for i in (1, 2))
+        held.clear()
+        return number, docs, word, before, text
 
     for batch in batches:
         for part in slices(batch, "text"):
@@ -76,7 +79,7 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table, np.
             size += part.column("text").nbytes
             if size >= RUN_BYTES:
                 yield joined()
-                number, held, size = number + 1, [], 0
+                number, size = number + 1, 0
     if held:
         yield joined()
 
@@ -102,7 +105,8 @@ def sorted_tokens(word: np.ndarray, before: np.ndarray, shard: np.ndarray) -> tu
     rank = np.searchsorted(distinct, word)
     key = (rank.astype(np.uint64) << np.uint64(32)) | contexts(before)
     order = np.argsort(key)
-    return order[np.argsort(shard[order], kind="stable")], distinct, rank
+    del key
+    return order[np.argsort(shard[order].astype(np.int32), kind="stable")], distinct, rank.astype(np.int32)
 
 
 def _input(docs: DataFrame, key: str, text: str, modulus: int, remainder: int) -> DataFrame:
@@ -139,7 +143,7 @@ def build(words: np.ndarray, sizes: np.ndarray, context: np.ndarray, count: np.n
     low, high = (share.min(), share.max()) if len(share) else (0.0, 0.0)
     step = max(high - low, 1e-9) / (STEPS - 1)
     code = np.rint((share - low) / step).astype(np.uint16)
-    children = (np.repeat(np.arange(len(words), dtype=np.uint64), sizes) << np.uint64(32)) | context
+    children = (np.repeat(np.arange(len(words), dtype=np.uint64), sizes) << np.uint64(32)) | context.astype(np.uint64)
     is_hot = np.isin(words, hot)
     return pack(
         {
@@ -195,6 +199,7 @@ def train(rows: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
             shard = routed(word, before, hot, shards)
             order, distinct, rank = sorted_tokens(word, before, shard)
             r, u, s = rank[order], contexts(before)[order], shard[order]
+            del word, before, shard, order, rank
             new = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (u[1:] != u[:-1]) | (s[1:] != s[:-1])))
             n = np.diff(np.append(new, len(r))).astype(np.uint32)
             r, u, s = r[new], u[new], s[new]
