@@ -104,6 +104,26 @@ def test_clean_category(spark):
     assert C.clean_category(df.select("categoryid")).columns == ["categoryid"]
 
 
+def test_category_ties(spark):
+    rows = [("5", None), ("5", "10"), ("5", "11"), ("7", None), ("7.0", "3"), ("8", None)]
+    df = spark.createDataFrame(rows, "categoryid string, parentid string")
+    expected = [(5, 10), (7, 3), (8, -1)]  # a real parent before -1; 7 and 7.0 are one
+    assert sorted(map(tuple, C.clean_category(df).collect())) == expected
+    more = df.selectExpr("*", "'n' as name")
+    assert sorted((r.categoryid, r.parentid) for r in C.clean_category(more).collect()) == expected
+    assert C.clean_category_stats(df).first().rows_after == 3
+
+
+def test_numbers_written_with_a_point(spark, tmp_path):
+    from trailmart.sources import tables
+
+    (tmp_path / "e.csv").write_text("timestamp,visitorid,event,itemid,transactionid\n1433221332117.0,257597.0,view,10.0,\n")
+    raw_rows = tables.read_events(spark, str(tmp_path / "e.csv"))
+    assert dict(raw_rows.dtypes)["visitorid"] == "bigint"
+    row = C.clean_events(raw_rows).selectExpr("visitorid", "itemid", "unix_millis(timestamp) as ms").first()
+    assert tuple(row) == (257597, 10, 1433221332117)
+
+
 def test_dedupe_keyed_keeps_first(spark):
     df = spark.createDataFrame([(1, 3, "c"), (1, 2, "b"), (2, 9, "z")], "k int, o int, v string")
     assert sorted(map(tuple, C.dedupe_keyed(df, ["k"], ["o"]).collect())) == [(1, 2, "b"), (2, 9, "z")]

@@ -176,3 +176,18 @@ def test_exact_quantiles_match_numpy(spark, seed):
     weighted = spark.createDataFrame(list(Counter(values).items()), "v double, w bigint")
     assert exact_quantiles(weighted, "v", probs, "w") == pytest.approx(list(np.quantile(values, probs)), rel=1e-15)
     assert exact_quantiles(df.where("false"), "v", [0.5]) == [None]
+
+
+@pytest.mark.parametrize(
+    "values",
+    [[1.0, 2.0, float("inf")], [float("-inf"), 1.0, 2.0, 3.0, float("inf")], [-1.7e308, 1.7e308, 0.0, 5.0], [float("inf")] * 3],
+)
+def test_quantiles_of_endless_and_huge_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in values + [float("nan")]], "v double")
+    probs = [0, 0.25, 0.5, 0.75, 1]
+    with np.errstate(all="ignore"):
+        wanted = [float(np.quantile(values, p, method="lower")) for p in probs]
+    got = exact_quantiles(df, "v", probs)
+    exact = [(p * (len(values) - 1)) % 1 == 0 for p in probs]
+    assert [g for g, e in zip(got, exact) if e] == [w for w, e in zip(wanted, exact) if e]
+    assert exact_quantiles(df.where("isnan(v)"), "v", [0.5]) == [None]

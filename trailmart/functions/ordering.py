@@ -13,8 +13,6 @@ from ..session import materialise
 _ROW_BITS = 33
 # Bins per look of exact_quantiles.
 _BINS = 2048
-# Ids below one prefix of this width: at most 2**21 rows share a window partition.
-_DIGIT_BITS = 21
 
 
 def with_position(df: DataFrame, order: list, name: str = "position") -> DataFrame:
@@ -61,7 +59,8 @@ def exact_quantiles_of(
 ) -> dict[str, list[float | None]]:
     """``exact_quantiles`` of several columns over one kept projection of ``df``."""
     size = F.lit(1).cast("bigint") if weight is None else F.col(weight)
-    numbers = [F.col(c).cast("double").alias(c) for c in wanted]
+    # NaN counts as missing.
+    numbers = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in wanted]
     kept = df.select(*numbers, size.alias("_w"))
     if keep:
         kept.persist()
@@ -77,16 +76,26 @@ def exact_quantiles_of(
 
 
 def _quantiles(values: DataFrame, probs: list[float]) -> list[float | None]:
-    whole = values.agg(F.sum("w").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    # Infinities are counted, not binned: they come before and after all finite values.
+    endless = F.abs("v") == float("inf")
+    whole = values.agg(
+        F.sum("w").alias("n"),
+        F.coalesce(F.sum(F.when(endless & (F.col("v") < 0), F.col("w"))), F.lit(0)).alias("below"),
+        F.coalesce(F.sum(F.when(endless & (F.col("v") > 0), F.col("w"))), F.lit(0)).alias("above"),
+        F.min(F.when(~endless, F.col("v"))).alias("lo"),
+        F.max(F.when(~endless, F.col("v"))).alias("hi"),
+    ).first()
     if not whole.n:
         return [None] * len(probs)
     last = whole.n - 1
     low_ranks = [math.floor(p * last) for p in probs]
     wanted = sorted({r for low in low_ranks for r in (low, min(low + 1, last))})
 
-    found: dict[int, float] = {}
+    found: dict[int, float] = {r: -math.inf for r in wanted if r < whole.below}
+    found.update({r: math.inf for r in wanted if r >= whole.n - whole.above})
     # Open ranges of values: (lowest, highest, rows before, rows inside) -> ranks wanted there.
-    open_ranges = {(whole.lo, whole.hi, 0, whole.n): wanted}
+    inside = [r for r in wanted if r not in found]
+    open_ranges = {(whole.lo, whole.hi, whole.below, whole.n - whole.below - whole.above): inside} if inside else {}
     while open_ranges:
         # A range of one value needs no look.
         for (lo, hi, _, _), ranks in open_ranges.items():
@@ -100,19 +109,22 @@ def _quantiles(values: DataFrame, probs: list[float]) -> list[float | None]:
     result = []
     for p, low in zip(probs, low_ranks):
         a, b, t = found[low], found[min(low + 1, last)], p * last - low
-        result.append(a + (b - a) * t if t < 0.5 else b - (b - a) * (1 - t))
+        if a == b or t == 0:
+            result.append(a)
+        else:
+            result.append(a + (b - a) * t if t < 0.5 else b - (b - a) * (1 - t))
     return result
 
 
 def _look_closer(values: DataFrame, open_ranges: dict) -> dict:
     """The bins of the open ranges that hold the wanted ranks, as new ranges."""
     spans = list(open_ranges)
-    v, which, bin_no = F.col("v"), F.lit(None).cast("int"), F.lit(None).cast("double")
-    for number, (lo, hi, _, rows) in enumerate(spans):
+    v, which, bin_no = F.col("v"), F.lit(None).cast("int"), F.lit(None).cast("bigint")
+    for number, (lo, hi, _, _) in enumerate(spans):
         inside = (v >= lo) & (v <= hi)
         which = F.when(inside, F.lit(number)).otherwise(which)
-        # Few rows: every value is its own bin.
-        spot = v if rows <= _BINS else F.floor((v - lo) / F.lit(hi - lo) * _BINS).cast("double")
+        # Halves keep the width of a very long range finite.
+        spot = F.floor((v / 2 - F.lit(lo / 2)) / F.lit(max(hi / 2 - lo / 2, 5e-324)) * _BINS)
         bin_no = F.when(inside, spot).otherwise(bin_no)
     bins = (
         values.select("v", "w", which.alias("span"), bin_no.alias("bin"))
@@ -132,41 +144,26 @@ def _look_closer(values: DataFrame, open_ranges: dict) -> dict:
     return closer
 
 
-def carry_forward_by_id(
-    df: DataFrame, key: str, value: str, largest: int | None = None
-) -> DataFrame:
-    """Fill null ``value`` with the last one at a smaller ``key``; ``key`` is a unique bigint.
+def carry_forward_by_id(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Fill null ``value`` with the last one at a smaller ``key``.
 
-    Works on the high bits of the key: look back inside a block of 2**21 ids,
-    then among the last values of the earlier blocks, the same way. Three
-    levels cover a bigint, and no window holds more than 2**22 rows.
-    ``largest`` is the largest absolute key where known; small ids need fewer levels.
+    The rows are range-sorted and written once; a row then looks back inside its own sort partition, and from
+    there to the last value of the partitions before. Rows of a null key come first.
     """
-    bits = 63 if largest is None else largest.bit_length()
-    levels = min(3, max(1, math.ceil(bits / _DIGIT_BITS)))
-    filled = _last_before(df, key, value, "_before", levels)
-    return filled.withColumn(value, F.coalesce(value, "_before")).drop("_before")
-
-
-def _last_before(df: DataFrame, key: str, value: str, out: str, levels: int) -> DataFrame:
-    """Last non-null ``value`` strictly before each key."""
-    if levels == 1:
-        earlier = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(out, F.last(value, ignorenulls=True).over(earlier))
-    block, last, prior = f"_block{levels}", f"_last{levels}", f"_prior{levels}"
-    high_bits = F.shiftright(key, _DIGIT_BITS)
-    earlier = Window.partitionBy(block).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    inside = df.withColumn(block, high_bits).withColumn(
-        out, F.last(value, ignorenulls=True).over(earlier)
-    )
-    blocks = df.groupBy(high_bits.alias(block)).agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), F.col(key))).alias(last)
-    )
-    before = _last_before(blocks, block, last, prior, levels - 1).select(block, prior)
+    sorted_rows = df.sort(F.asc_nulls_first(key)).select("*", F.spark_partition_id().alias("_part"))
+    rows = materialise(sorted_rows)
+    so_far = Window.partitionBy("_part").orderBy(F.asc_nulls_first(key)).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.when(F.col(value).isNotNull(), F.struct(F.col(key).isNotNull(), F.col(key)))
+    # One row per sort partition, as in with_position.
+    lasts = rows.groupBy("_part").agg(F.max_by(value, place).alias("_last"))
+    lasts = lasts.select("_part", F.last("_last", ignorenulls=True).over(earlier).alias("_prior"))
+    own = F.last(value, ignorenulls=True).over(so_far)
     return (
-        inside.join(before, block, "left")
-        .withColumn(out, F.coalesce(out, prior))
-        .drop(block, prior)
+        rows.withColumn("_own", own)
+        .join(F.broadcast(lasts), "_part")
+        .withColumn(value, F.coalesce("_own", "_prior"))
+        .drop("_part", "_own", "_prior")
     )
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def epoch_ms(col: Column | str) -> Column:
-    """Epoch milliseconds to timestamp; whatever is not a number becomes null."""
-    return F.timestamp_millis(_col(col).try_cast("bigint"))
+    """Epoch milliseconds to timestamp, also from text like ``1433221332117.0``; no number becomes null."""
+    return F.timestamp_millis(safe_long(col))
 
 
 def first_number(col: Column | str) -> Column:

@@ -131,30 +131,37 @@ def clean_properties_stats(df: DataFrame) -> DataFrame:
 
 
 def clean_category(df: DataFrame) -> DataFrame:
-    """One row per category; ids to whole numbers; -1 marks a root."""
-    rows = drop_missing(df, ["categoryid"])
+    """One row per category; ids to whole numbers first, so ``7`` and ``7.0`` are one; -1 marks a root.
+
+    Of several rows the smallest real parent stays; -1 only where no row names one.
+    """
+    rows = drop_missing(df, ["categoryid"]).withColumn("categoryid", safe_long("categoryid"))
     if "parentid" not in df.columns:
-        return rows.select("categoryid").distinct().withColumn("categoryid", safe_long("categoryid"))
-    return dedupe_keyed(
-        rows.withColumn("parentid", safe_long("parentid", default=-1)), ["categoryid"], ["parentid"]
-    ).withColumn("categoryid", safe_long("categoryid"))
+        return rows.select("categoryid").distinct()
+    parent = F.coalesce(F.min(safe_long("parentid")), F.lit(-1).cast("bigint"))
+    if set(df.columns) == {"categoryid", "parentid"}:
+        return rows.groupBy("categoryid").agg(parent.alias("parentid")).select(*df.columns)
+    rows = rows.withColumn("parentid", safe_long("parentid"))
+    kept = dedupe_keyed(rows.withColumn("_root", F.col("parentid").isNull()), ["categoryid"], ["_root", "parentid"])
+    return kept.drop("_root").withColumn("parentid", F.coalesce("parentid", F.lit(-1).cast("bigint")))
 
 
 def clean_category_stats(df: DataFrame) -> DataFrame:
     missing = F.col("categoryid").isNull()
     has_parent = "parentid" in df.columns
-    counted = df.groupBy("categoryid").agg(
-        F.count(F.lit(1)).alias("_n"),
-        (F.min(safe_long("parentid", default=-1)) if has_parent else F.lit(None)).alias("_parent"),
+    parent = F.coalesce(F.min(safe_long("parentid")), F.lit(-1).cast("bigint")) if has_parent else F.lit(None)
+    # Unparsable ids are one key of their own, as in the cleaned table.
+    counted = df.groupBy(missing.alias("_missing"), safe_long("categoryid").alias("_id")).agg(
+        F.count(F.lit(1)).alias("_n"), parent.alias("_parent")
     )
-    kept = ~missing
+    missing, kept = F.col("_missing"), ~F.col("_missing")
     return counted.agg(
         _rows(F.lit(True), "rows_before"),
         _rows(missing, "rows_dropped_missing"),
         _extras(kept),
         F.count_if(kept).alias("rows_after"),
-        F.count_distinct(F.when(kept, safe_long("categoryid"))).alias("unique_categories"),
-        F.count_if(kept & safe_long("categoryid").isNull()).alias("unparsable_ids"),
+        F.count_distinct(F.when(kept, F.col("_id"))).alias("unique_categories"),
+        _rows(kept & F.col("_id").isNull(), "unparsable_ids"),
         F.count_distinct(F.when(kept, F.col("_parent"))).alias("unique_parents"),
     )
 

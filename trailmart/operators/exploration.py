@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from fractions import Fraction
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +25,12 @@ def missing_pct(df: DataFrame) -> DataFrame:
     return shares.unpivot([], shares.columns, "column", "missing_pct")
 
 
+def missing_pct_of(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, column, missing_pct) of every column of the named tables."""
+    parts = [missing_pct(df).select(F.lit(name).alias("table_name"), "*") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def event_type_counts(ev: DataFrame) -> DataFrame:
     return ev.groupBy("event").agg(F.count(F.lit(1)).alias("n"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.histograms import fixed_hist, frequency_hist
 from ..functions.scalars import ratio, rounded
-from .recommending import cooccurrence, reco_confidence
+from .recommending import by_item_id, cooccurrence, reco_confidence
 
 
 def filter_dates(mart: DataFrame, start, end) -> DataFrame:
@@ -252,14 +252,16 @@ def length_buckets(seq: DataFrame) -> DataFrame:
     )
 
 
-def trending_items(seq: DataFrame, k: int = 10) -> DataFrame:
-    return (
+def trending_items(seq: DataFrame, k: int = 10, items: DataFrame | None = None) -> DataFrame:
+    """The most frequent items; item ids with the item dimension, else indexes."""
+    top = (
         seq.select(F.explode("item_seq").alias("item"))
         .groupBy("item")
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "item")
         .limit(k)
     )
+    return top if items is None else by_item_id(top, items, "item")
 
 
 def session_explorer(

@@ -13,18 +13,23 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import rounded
 from ..params import Params
+from ..session import materialise
 
 DEFAULTS = Params()
 
 
 @dataclass(frozen=True)
 class RecoCandidate:
-    """``window`` 1 is a first-order transition count; further steps decay."""
+    """``window`` 1 is a first-order transition count; further steps decay.
+
+    ``recency`` weighs the items of the history that is scored; ``history`` is how far back both look.
+    """
 
     window: int = 1
     decay: float = 0.5
     history: int = 50
     train_share: float = 0.8
+    recency: float = 0.5
 
 
 def hash_share(col: str) -> Column:
@@ -79,10 +84,9 @@ def transitions(seq: DataFrame, window: int = 1, decay: float = 0.5, history: in
 def next_item_model(
     seq: DataFrame, k: int = DEFAULTS.top_k, window: int = 1, decay: float = 0.5, history: int = 50
 ) -> DataFrame:
-    """(item, candidates): the ``k`` best followers of each item, best first.
+    """(item, candidates): the ``k`` best followers of each item, best first; a table to look at.
 
-    A visitor's candidates depend only on the last item, so ``k`` followers per
-    item hold every top-``k`` answer in full.
+    Recommendations are ranked from the complete ``transitions`` (``topk_next``).
     """
     best = Window.partitionBy("item").orderBy(F.desc("score"), "next")
     return (
@@ -94,11 +98,48 @@ def next_item_model(
     )
 
 
-def topk_next(model: DataFrame, hist: DataFrame, k: int = DEFAULTS.top_k) -> DataFrame:
-    """``hist`` with its top candidates; an item never seen before the end has none."""
-    keyed = hist.withColumn("item", F.element_at("history", -1))
-    top = F.slice(F.coalesce(F.col("candidates.next"), F.array().cast("array<bigint>")), 1, k)
-    return keyed.join(model, "item", "left").withColumn("top", top).drop("item", "candidates")
+def popular_items(seq: DataFrame, most: int) -> DataFrame:
+    """(next, place): the ``most`` most frequent items of the sequences, by number of places, then item."""
+    counts = seq.select(F.explode("item_seq").alias("next")).groupBy("next").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.orderBy(F.desc("n"), "next").limit(most)
+    return top.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "next"))).select("next", "place")
+
+
+def topk_next(
+    model: DataFrame,
+    hist: DataFrame,
+    popular: DataFrame,
+    k: int = DEFAULTS.top_k,
+    recency: float = 0.5,
+) -> DataFrame:
+    """``hist`` with ``top``: ``k`` items for each row, or all there are.
+
+    ``model`` is the complete ``transitions`` table. Every item of the history votes for its followers, an item
+    further back with ``recency`` to the power of its steps. Places that stay free go to ``popular``, which needs
+    twice ``k`` rows: ``k`` may be chosen already. Equal scores go by popularity, then by item.
+    """
+    steps = hist.select("visitorid", F.posexplode(F.reverse("history")).alias("_back", "item"))
+    votes = steps.groupBy("visitorid", "item").agg(F.sum(F.pow(F.lit(float(recency)), F.col("_back"))).alias("_vote"))
+    # A join on the item, whose hot keys adaptive planning splits; sums are taken in each task first.
+    scored = votes.join(model, "item").select("visitorid", "next", (F.col("_vote") * F.col("score")).alias("s"))
+    # 2k rows, as a list that every visitor gets.
+    pool = popular.orderBy("place").limit(2 * k).agg(F.collect_list("next").alias("_pool"))
+    free = hist.select("visitorid").distinct().join(F.broadcast(pool))
+    free = free.select("visitorid", F.explode("_pool").alias("next"), F.lit(0.0).alias("s"))
+    total = scored.unionByName(free).groupBy("visitorid", "next").agg(rounded(F.sum("s"), 9).alias("s"))
+    placed = total.join(F.broadcast(popular.limit(2 * k)), "next", "left")
+    best = Window.partitionBy("visitorid").orderBy(F.desc("s"), F.asc_nulls_last("place"), "next")
+    ranked = placed.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= k)
+    top = ranked.groupBy("visitorid").agg(F.sort_array(F.collect_list(F.struct("_rank", "next"))).alias("_top"))
+    return hist.join(top, "visitorid", "left").select(*hist.columns, F.col("_top.next").alias("top"))
+
+
+def popularity_baseline(train: DataFrame, hist: DataFrame, k: int = DEFAULTS.top_k) -> DataFrame:
+    """``hist`` with the ``k`` most popular items as everybody's answer."""
+    pool = popular_items(train, k).orderBy("place").agg(
+        F.sort_array(F.collect_list(F.struct("place", "next")))["next"].alias("top")
+    )
+    return hist.join(F.broadcast(pool))
 
 
 def hit_ndcg(scored: DataFrame, k: int = DEFAULTS.top_k) -> DataFrame:
@@ -123,10 +164,8 @@ def cooccurrence_weights(seq: DataFrame, after_weight: float = 2.0) -> DataFrame
     ``1 / (distance + 1)``, times ``after_weight`` when it comes later. Weights
     are rounded to nine digits so equal sums tie in whatever order they add up.
     """
-    # One short sequence becomes up to 2,450 pairs, so use all cores whatever
-    # the size of the input files; the pairs themselves fold before the shuffle.
-    cores = seq.sparkSession.sparkContext.defaultParallelism
-    spread = seq.select("visitorid", F.col("item_seq").alias("_s")).repartition(4 * cores, "visitorid")
+    # One short sequence becomes up to 2,450 pairs; the pairs themselves fold before the shuffle.
+    spread = seq.select("visitorid", F.col("item_seq").alias("_s")).repartition("visitorid")
     anchors = spread.select("_s", F.explode(F.array_distinct("_s")).alias("anchor"))
     placed = anchors.withColumn("_at", F.array_position("_s", F.col("anchor")).cast("int") - 1)
     pairs = placed.select("anchor", "_at", F.posexplode("_s").alias("_i", "other"))
@@ -177,8 +216,9 @@ def reco_confidence(pairs: DataFrame, seq: DataFrame) -> DataFrame:
 
 
 def evaluate_reco(train: DataFrame, test: DataFrame, c: RecoCandidate, k: int = DEFAULTS.top_k):
-    model = next_item_model(train, k, c.window, c.decay, c.history)
-    return hit_ndcg(topk_next(model, leave_last_out(test), k), k).first()
+    model = transitions(train, c.window, c.decay, c.history)
+    hist = leave_last_out(test, c.history)
+    return hit_ndcg(topk_next(model, hist, popular_items(train, 2 * k), k, c.recency), k).first()
 
 
 def tune_reco(seq: DataFrame, candidates: list[RecoCandidate]) -> tuple[list[dict], RecoCandidate]:
@@ -186,7 +226,7 @@ def tune_reco(seq: DataFrame, candidates: list[RecoCandidate]) -> tuple[list[dic
 
     The refit of the best on all rows is scored too, as ``in_sample``.
     """
-    seq = seq.persist()
+    seq = materialise(seq)
     results = []
     for number, c in enumerate(candidates):
         train, test = visitor_split(seq, c.train_share)
@@ -205,10 +245,25 @@ def tune_reco(seq: DataFrame, candidates: list[RecoCandidate]) -> tuple[list[dic
             **asdict(candidates[best]),
         }
     )
-    seq.unpersist()
     return results, candidates[best]
 
 
+def by_item_id(df: DataFrame, items: DataFrame, *cols: str) -> DataFrame:
+    """``df`` with the item indexes in ``cols`` replaced by item ids; ``items`` is the shared item dimension."""
+    for c in cols:
+        names = items.select(F.col("item_idx").alias(c), F.col("itemid").alias("_name"))
+        df = df.join(names, c, "left").withColumn(c, F.col("_name")).drop("_name")
+    return df
+
+
+def item_recommendations(seq: DataFrame, items: DataFrame, k: int = 5) -> DataFrame:
+    """(itemid, rank, recommended, weight, confidence, tier): what goes with each item, in item ids."""
+    pairs = by_item_id(reco_confidence(cooccurrence(seq, k), seq), items, "anchor", "other")
+    return pairs.select(
+        F.col("anchor").alias("itemid"), "rank", F.col("other").alias("recommended"), "weight", "confidence", "tier"
+    )
+
+
 def training_curve(results: DataFrame) -> DataFrame:
     """Metrics per held-out candidate with the best so far; one row per candidate."""
     upto = Window.orderBy("candidate")

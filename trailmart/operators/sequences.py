@@ -63,12 +63,12 @@ def _tie_break(ev: DataFrame) -> list[str]:
 
 
 def reco_sequences(
-    ev: DataFrame, props: DataFrame, cats: DataFrame, params: Params = DEFAULTS
+    ev: DataFrame, props: DataFrame, cats: DataFrame, params: Params = DEFAULTS, items: DataFrame | None = None
 ) -> DataFrame:
     """(visitorid, item_seq, cat_seq, time_seq) of each visitor's last events.
 
     Events without an item are left out. Times are whole minutes since the
-    first kept event.
+    first kept event. ``items`` is the item dimension where it exists already.
     """
     usable = ev.where(F.col("itemid").isNotNull() & F.col("visitorid").isNotNull())
     usable = usable.select("visitorid", "timestamp", "event", "itemid")
@@ -79,7 +79,7 @@ def reco_sequences(
         .withColumn("cat_idx", F.coalesce("cat_idx", F.lit(0).cast("bigint")))
         .drop("categoryid")
     )
-    items = item_index(ev.where(F.col("visitorid").isNotNull()))
+    items = item_index(ev.where(F.col("visitorid").isNotNull())) if items is None else items
     if params.category_fanout:
         # Each event repeats once per category row of its item before the cut.
         spread = usable.join(categories, "itemid", "left")

@@ -330,7 +330,8 @@ def _(t):
 
 @query("missing_pct")
 def _(t):
-    return E.missing_pct(t.raw_events())
+    raw = {"events": t.raw_events(), "item_properties": t.raw_properties(), "category_tree": t.raw_categories()}
+    return E.missing_pct_of(raw)
 
 
 @query("event_type_counts")
@@ -374,6 +375,11 @@ def _(t):
 
 
 @query("session_length_hist")
+def _(t):
+    return E.clipped_hist(E.session_lengths(t.events()), "length")
+
+
+@query("session_length_hist_global")
 def _(t):
     return E.clipped_hist(E.session_lengths(t.events(), global_key=True), "length")
 
@@ -612,7 +618,7 @@ def _(t):
     return V.residuals(t.mart()).select("itemid", "date", "forecast", "residual")
 
 
-@query("qq_points")
+@query("qq_points", ordered=4, fitted=4)
 def _(t):
     return V.qq_points(t.mart())
 
@@ -658,7 +664,7 @@ def _(t):
 
 def _scored_sequences(t: StarTables) -> DataFrame:
     train, test = R.visitor_split(t.sequences())
-    return R.topk_next(R.next_item_model(train), R.leave_last_out(test))
+    return R.topk_next(R.transitions(train), R.leave_last_out(test), R.popular_items(train, 2 * Params().top_k))
 
 
 @query("topk_next")
@@ -671,6 +677,17 @@ def _(t):
     return R.hit_ndcg(_scored_sequences(t))
 
 
+@query("popularity_baseline")
+def _(t):
+    train, test = R.visitor_split(t.sequences())
+    return R.hit_ndcg(R.popularity_baseline(train, R.leave_last_out(test)))
+
+
+@query("item_recommendations", digits=4)
+def _(t):
+    return R.item_recommendations(t.sequences(), Q.item_index(t.events()))
+
+
 @query("cooccurrence")
 def _(t):
     return R.cooccurrence(t.sequences())
@@ -683,7 +700,12 @@ def _(t):
 
 
 def _tuned(t: StarTables) -> DataFrame:
-    options = [R.RecoCandidate(), R.RecoCandidate(window=3), R.RecoCandidate(window=5, decay=0.8)]
+    options = [
+        R.RecoCandidate(),
+        R.RecoCandidate(window=3, recency=0.8),
+        R.RecoCandidate(window=5, decay=0.8, history=20),
+        R.RecoCandidate(window=3, recency=0.9, train_share=0.7),
+    ]
     results, _ = R.tune_reco(t.sequences(), options)
     return _rows(t.spark, results)
 
@@ -779,7 +801,7 @@ def _(t):
 
 @query("trending_items")
 def _(t):
-    return B.trending_items(t.sequences())
+    return B.trending_items(t.sequences(), items=Q.item_index(t.events()))
 
 
 @query("session_explorer")

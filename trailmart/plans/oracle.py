@@ -6,6 +6,8 @@ self joins and quantiles where Spark has a two-phase form.
 
 from __future__ import annotations
 
+from ..operators.evaluation import NORMAL_QUANTILE
+
 ORACLES: dict[str, str] = {}
 
 # Shared table expressions, each a (name, body) pair; ``needs`` pulls in the chain.
@@ -440,13 +442,23 @@ _oracle(
 
 # exploration ----------------------------------------------------------------
 
+_view("raw_cats", "SELECT categoryid, CASE WHEN parentid > 0 THEN parentid END AS parentid FROM cats", "cats")
+_MISSING = {
+    "events": ("raw_ev", {"timestamp": "ms", "visitorid": "visitorid", "event": "event", "itemid": "itemid", "transactionid": "transactionid"}),
+    "item_properties": ("raw_props", {"timestamp": "ms", "itemid": "itemid", "property": "property", "value": "value"}),
+    "category_tree": ("raw_cats", {"categoryid": "categoryid", "parentid": "parentid"}),
+}
 _oracle(
     "missing_pct",
     " UNION ALL ".join(
-        f"""SELECT '{name}' AS "column", round_even(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0 END) * 100, 1) AS missing_pct FROM raw_ev"""
-        for name, c in (("timestamp", "ms"), ("visitorid", "visitorid"), ("event", "event"), ("itemid", "itemid"), ("transactionid", "transactionid"))
+        f"""SELECT '{table}' AS table_name, '{name}' AS "column",
+            round_even(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0 END) * 100, 1) AS missing_pct FROM {view}"""
+        for table, (view, columns) in _MISSING.items()
+        for name, c in columns.items()
     ),
     "raw_ev",
+    "raw_props",
+    "raw_cats",
 )
 _oracle("event_type_counts", "SELECT event, count(*) AS n FROM ev GROUP BY 1", "ev")
 _oracle("daily_volume", f"SELECT {_day('CAST(ts AS DATE)')} AS date, count(*) AS n FROM ev GROUP BY 1", "ev")
@@ -490,20 +502,23 @@ def _hist(name: str, values: str, bins: int, digits: int, *views: str, extra: st
         f"""SELECT b.bin, {_r('lo + b.bin * step', digits)} AS lower,
             {_r(f'CASE WHEN b.bin = {bins - 1} THEN hi ELSE lo + (b.bin + 1) * step END', digits)} AS upper, count(v) AS n{extra}
             FROM (SELECT unnest(range({bins})) AS bin) b
-            CROSS JOIN (SELECT min(v) AS lo, max(v) AS hi, (max(v) - min(v)) / {float(bins)}::DOUBLE AS step FROM ({values})) s
+            CROSS JOIN (SELECT lo, hi, (hi - lo) / {float(bins)}::DOUBLE AS step FROM
+              (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
+                      CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi FROM ({values}))) s
             LEFT JOIN ({values}) x ON v >= lo + b.bin * step AND (v < lo + (b.bin + 1) * step OR b.bin = {bins - 1})
             GROUP BY b.bin, lo, hi, step""",
         *views,
     )
 
 
-_hist(
-    "session_length_hist",
-    "SELECT CAST(length AS DOUBLE) AS v FROM glens WHERE length <= (SELECT quantile_cont(CAST(length AS DOUBLE), 0.95) FROM glens)",
-    30,
-    6,
-    "glens",
-)
+for _name, _lens in (("session_length_hist", "lens"), ("session_length_hist_global", "glens")):
+    _hist(
+        _name,
+        f"SELECT CAST(length AS DOUBLE) AS v FROM {_lens} WHERE length <= (SELECT quantile_cont(CAST(length AS DOUBLE), 0.95) FROM {_lens})",
+        30,
+        6,
+        _lens,
+    )
 _FUNNEL = ", ".join(
     f"count(*) FILTER (event = '{e}') AS {e}" for e in ("view", "addtocart", "removefromcart", "transaction")
 )
@@ -719,6 +734,43 @@ _oracle(
     "err",
 )
 
+
+
+def _normal_quantile(p: str) -> str:
+    """Inverse normal of ``p`` in terms of q = p - 0.5, by the coefficients the Spark side uses."""
+
+    def ratio(kind: str, r: str) -> str:
+        def poly(c):
+            out = repr(c[-1]) + "::DOUBLE"
+            for x in reversed(c[:-1]):
+                out = f"(({out}) * ({r}) + {x!r}::DOUBLE)"
+            return out
+
+        top, bottom = NORMAL_QUANTILE[kind]
+        return f"({poly(top)} / {poly(bottom)})"
+
+    tail = f"sqrt(-ln(CASE WHEN {p} < 0.5 THEN {p} ELSE 1 - {p} END))"
+    return f"""(CASE WHEN abs({p} - 0.5) <= 0.425 THEN ({p} - 0.5) * {ratio('middle', f'0.180625 - ({p} - 0.5) * ({p} - 0.5)')}
+               ELSE (CASE WHEN {p} < 0.5 THEN -1 ELSE 1 END) *
+                    (CASE WHEN {tail} <= 5 THEN {ratio('near', f'{tail} - 1.6')} ELSE {ratio('far', f'{tail} - 5')} END) END)"""
+
+
+_view(
+    "qq",
+    f"""SELECT *, {_normal_quantile('m')} AS theoretical FROM (
+          SELECT position, ordered, CASE WHEN position = 1 THEN 1 - pow(0.5::DOUBLE, 1.0::DOUBLE / n) WHEN position = n THEN pow(0.5::DOUBLE, 1.0::DOUBLE / n)
+                 ELSE (position - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS m
+          FROM (SELECT sales - forecast AS ordered, row_number() OVER (ORDER BY sales - forecast, itemid, date) AS position, count(*) OVER () AS n
+                FROM mart WHERE sales IS NOT NULL AND forecast IS NOT NULL))""",
+    "mart",
+)
+_oracle(
+    "qq_points",
+    f"""SELECT position, {_r('theoretical')} AS theoretical, {_r('ordered', 4)} AS ordered, {_r('a + b * theoretical', 4)} AS fitted
+        FROM qq, (SELECT regr_slope(ordered, theoretical) AS b, regr_intercept(ordered, theoretical) AS a FROM qq)""",
+    "qq",
+)
+
 # recommender ----------------------------------------------------------------
 
 _view(
@@ -754,7 +806,6 @@ _oracle(
     f"SELECT item, {_list('next', 'rank')} AS candidates FROM ({_BEST.format('follow3')}) GROUP BY 1",
     "follow3",
 )
-_view("best1", _BEST.format("follow1"), "follow1")
 _view(
     "tested",
     "SELECT visitorid, target, last_item FROM held JOIN goal USING (visitorid) JOIN split USING (visitorid) WHERE NOT train",
@@ -762,33 +813,84 @@ _view(
     "goal",
     "split",
 )
+
+
+def _share(percent: int) -> str:
+    return f"CAST('0x' || substr(md5(CAST(visitorid AS VARCHAR)), 1, 8) AS BIGINT) % 100 < {percent}"
+
+
+def _ranked(prefix: str, window: int, decay: float, history: int, recency: float, train: str, test: str) -> str:
+    """Views that rank items for the visitors in ``test`` from those in ``train``; returns the last one's name."""
+    _view(f"{prefix}_in", f"SELECT * FROM sized WHERE {train} AND pos > len - {history}", "sized")
+    _view(
+        f"{prefix}_follow",
+        f"""SELECT a.item_idx AS item, b.item_idx AS next, round(sum(CAST({decay} AS DOUBLE) ** (b.pos - a.pos - 1)), 9) AS score
+            FROM {prefix}_in a JOIN {prefix}_in b ON b.visitorid = a.visitorid AND b.pos BETWEEN a.pos + 1 AND a.pos + {window}
+            GROUP BY 1, 2""",
+        f"{prefix}_in",
+    )
+    _view(
+        f"{prefix}_popular",
+        f"""SELECT item_idx AS next, row_number() OVER (ORDER BY count(*) DESC, item_idx) AS place
+            FROM sized WHERE {train} GROUP BY 1 QUALIFY place <= 40""",
+        "sized",
+    )
+    _view(
+        f"{prefix}_asked",
+        f"SELECT *, CAST({recency} AS DOUBLE) ** (len - 1 - pos) AS vote FROM sized WHERE {test} AND len >= 2 AND pos < len AND pos >= len - {history}",
+        "sized",
+    )
+    _view(
+        f"{prefix}_rank",
+        f"""SELECT visitorid, next, row_number() OVER (PARTITION BY visitorid ORDER BY s DESC, place NULLS LAST, next) AS rank
+            FROM (SELECT visitorid, next, round(sum(s), 9) AS s FROM (
+                    SELECT visitorid, next, vote * score AS s FROM {prefix}_asked JOIN {prefix}_follow ON item = item_idx
+                    UNION ALL
+                    SELECT visitorid, next, 0.0 AS s FROM (SELECT DISTINCT visitorid FROM {prefix}_asked), {prefix}_popular)
+                  GROUP BY 1, 2)
+            LEFT JOIN {prefix}_popular USING (next) QUALIFY rank <= 20""",
+        f"{prefix}_asked",
+        f"{prefix}_follow",
+        f"{prefix}_popular",
+    )
+    return f"{prefix}_rank"
+
+
+def _scores(prefix: str, ranks: str, test: str, on: str = "r.visitorid = g.visitorid AND ") -> None:
+    _view(
+        prefix,
+        f"""SELECT avg(CASE WHEN rank IS NULL THEN 0 ELSE 1 END) AS hit_rate, avg(coalesce(1 / log2(rank + 1), 0)) AS ndcg,
+            count(*) AS samples FROM (SELECT * FROM goal WHERE {test}) g LEFT JOIN {ranks} r ON {on}r.next = g.target""",
+        "goal",
+        ranks,
+    )
+
+
+_TRAIN, _TEST = _share(80), f"NOT ({_share(80)})"
+_ranked("plain", 1, 0.5, 50, 0.5, _TRAIN, _TEST)
 _oracle(
     "topk_next",
-    f"""SELECT visitorid, target, coalesce({_list('next', 'rank')}, '') AS top
-        FROM tested LEFT JOIN best1 ON item = last_item GROUP BY 1, 2""",
-    "tested",
-    "best1",
-)
-_oracle(
-    "hit_ndcg",
-    f"""SELECT {_r('avg(CASE WHEN rank IS NULL THEN 0 ELSE 1 END)')} AS hit_rate,
-        {_r('avg(coalesce(1 / log2(rank + 1), 0))')} AS ndcg, count(*) AS samples
-        FROM tested LEFT JOIN best1 ON item = last_item AND next = target""",
-    "tested",
-    "best1",
-)
-_view("everyone", "SELECT visitorid, target, last_item FROM held JOIN goal USING (visitorid)", "held", "goal")
-_trials = [(1, 0.5), (3, 0.5), (5, 0.8)]
-for _i, (_window, _decay) in enumerate(_trials):
-    for _kind, _who, _asked in (("holdout", "train", "tested"), ("in_sample", "TRUE", "everyone")):
-        _view(f"trial{_i}_{_kind}_follow", _follow(_window, _decay, _who), "split")
+    f"""SELECT visitorid, target, {_list('next', 'rank')} AS top FROM goal JOIN plain_rank USING (visitorid) GROUP BY 1, 2""",
+    "goal",
+    "plain_rank",
+)
+_SCORES = f"{_r('hit_rate')} AS hit_rate, {_r('ndcg')} AS ndcg"
+_scores("plain_scores", "plain_rank", _TEST)
+_oracle("hit_ndcg", f"SELECT {_SCORES}, samples FROM plain_scores", "plain_scores")
+_view("plain_top", "SELECT next, place AS rank FROM plain_popular WHERE place <= 20", "plain_popular")
+_scores("popular_scores", "plain_top", _TEST, on="")
+_oracle("popularity_baseline", f"SELECT {_SCORES}, samples FROM popular_scores", "popular_scores")
+# window, decay, history, train share in percent, recency
+_trials = [(1, 0.5, 50, 80, 0.5), (3, 0.5, 50, 80, 0.8), (5, 0.8, 20, 80, 0.5), (3, 0.5, 50, 70, 0.9)]
+for _i, (_window, _decay, _history, _percent, _recency) in enumerate(_trials):
+    for _kind, _who, _asked in (("holdout", _share(_percent), f"NOT ({_share(_percent)})"), ("in_sample", "TRUE", "TRUE")):
+        _rank = _ranked(f"trial{_i}_{_kind}", _window, _decay, _history, _recency, _who, _asked)
+        _scores(f"trial{_i}_{_kind}_scores", _rank, _asked)
         _view(
             f"trial{_i}_{_kind}",
-            f"""SELECT {_i} AS candidate, '{_kind}' AS scored_on, avg(CASE WHEN rank IS NULL THEN 0 ELSE 1 END) AS hit_rate,
-                avg(coalesce(1 / log2(rank + 1), 0)) AS ndcg, {_window} AS "window", {_decay} AS decay
-                FROM {_asked} LEFT JOIN ({_BEST.format(f'trial{_i}_{_kind}_follow')}) ON item = last_item AND next = target""",
-            f"trial{_i}_{_kind}_follow",
-            _asked,
+            f"""SELECT {_i} AS candidate, '{_kind}' AS scored_on, hit_rate, ndcg, {_window} AS "window", {_decay} AS decay,
+                {_history} AS history, {_percent / 100} AS train_share, {_recency} AS recency FROM trial{_i}_{_kind}_scores""",
+            f"trial{_i}_{_kind}_scores",
         )
 _view(
     "trials",
@@ -797,16 +899,16 @@ _view(
 )
 _oracle(
     "tune_reco",
-    f"""SELECT CAST(candidate AS BIGINT) AS candidate, scored_on, {_r('hit_rate')} AS hit_rate, {_r('ndcg')} AS ndcg,
-        CAST("window" AS BIGINT) AS "window", CAST(decay AS DOUBLE) AS decay, CAST(50 AS BIGINT) AS history,
-        CAST(0.8 AS DOUBLE) AS train_share FROM trials
+    f"""SELECT CAST(candidate AS BIGINT) AS candidate, scored_on, {_SCORES},
+        CAST("window" AS BIGINT) AS "window", CAST(decay AS DOUBLE) AS decay, CAST(history AS BIGINT) AS history,
+        CAST(train_share AS DOUBLE) AS train_share, CAST(recency AS DOUBLE) AS recency FROM trials
         WHERE scored_on = 'holdout'
            OR candidate = (SELECT candidate FROM trials WHERE scored_on = 'holdout' ORDER BY ndcg DESC, candidate LIMIT 1)""",
     "trials",
 )
 _oracle(
     "training_curve",
-    f"""SELECT CAST(candidate AS BIGINT) AS iteration, {_r('hit_rate')} AS hit_rate, {_r('ndcg')} AS ndcg,
+    f"""SELECT CAST(candidate AS BIGINT) AS iteration, {_SCORES},
         {_r('max(ndcg) OVER (ORDER BY candidate)')} AS best_ndcg FROM trials WHERE scored_on = 'holdout'""",
     "trials",
 )
@@ -956,8 +1058,18 @@ _oracle(
 )
 _oracle(
     "trending_items",
-    "SELECT item_idx AS item, count(*) AS n FROM steps GROUP BY 1 ORDER BY n DESC, item LIMIT 10",
+    """SELECT itemid AS item, n FROM (SELECT item_idx, count(*) AS n FROM steps GROUP BY 1 ORDER BY n DESC, item_idx LIMIT 10)
+       JOIN item_idx USING (item_idx)""",
     "steps",
+    "item_idx",
+)
+_oracle(
+    "item_recommendations",
+    f"""SELECT a.itemid, rank, b.itemid AS recommended, {_r('weight', 4)} AS weight, {_r('confidence', 4)} AS confidence,
+        CASE WHEN confidence > 70 THEN 'High' WHEN confidence > 40 THEN 'Medium' ELSE 'Low' END AS tier
+        FROM conf JOIN item_idx a ON a.item_idx = anchor JOIN item_idx b ON b.item_idx = other""",
+    "conf",
+    "item_idx",
 )
 _oracle(
     "session_explorer",

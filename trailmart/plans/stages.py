@@ -37,9 +37,11 @@ def features(spark: SparkSession, interim: str, out: str, params: Params = DEFAU
     properties = tables.read_table(spark, f"{interim}/item_properties")
     categories = tables.read_table(spark, f"{interim}/category_tree")
     tables.write_table(forecast_features(events, properties, params), f"{out}/forecast_features")
-    sequences = reco_sequences(events, properties, categories, params)
+    # One item dimension serves the sequences and everybody who reads them.
+    tables.write_table(item_index(events.where(F.col("visitorid").isNotNull())), f"{out}/item_dim")
+    items = tables.read_table(spark, f"{out}/item_dim")
+    sequences = reco_sequences(events, properties, categories, params, items)
     tables.write_table(sequences, f"{out}/reco_sequences")
-    tables.write_table(item_index(events), f"{out}/item_dim")
 
 
 def train_forecast(
@@ -61,12 +63,13 @@ def train_forecast(
 def train_recommender(
     spark: SparkSession, processed: str, model_path: str, params: Params = DEFAULTS
 ) -> DataFrame:
-    """Write the next-item table; report hit rate and NDCG on held-out visitors."""
+    """Write the complete transitions; report hit rate and NDCG on held-out visitors."""
     sequences = tables.read_table(spark, f"{processed}/reco_sequences")
     train, test = recommending.visitor_split(sequences)
-    tables.write_table(recommending.next_item_model(train, params.top_k), model_path)
+    tables.write_table(recommending.transitions(train), model_path)
     model = tables.read_table(spark, model_path)
-    scored = recommending.topk_next(model, recommending.leave_last_out(test), params.top_k)
+    popular = recommending.popular_items(train, 2 * params.top_k)
+    scored = recommending.topk_next(model, recommending.leave_last_out(test), popular, params.top_k)
     report = tables.metrics_table(recommending.hit_ndcg(scored, params.top_k))
     return forecasting.quality_gate(
         report, {}, {"hit_rate": params.min_hit_rate, "ndcg": params.min_ndcg}

@@ -8,19 +8,25 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Numbers that may be unparsable are read as text, so cleaning can count them.
-EVENT_SCHEMA = "timestamp string, visitorid bigint, event string, itemid bigint, transactionid bigint"
-PROPERTY_SCHEMA = "timestamp string, itemid bigint, property string, value string"
+from ..functions.scalars import safe_long
+
+# Numbers that may be unparsable are read as text, so cleaning can count them; ids may be written ``257597.0``.
+EVENT_SCHEMA = "timestamp string, visitorid string, event string, itemid string, transactionid string"
+PROPERTY_SCHEMA = "timestamp string, itemid string, property string, value string"
 CATEGORY_SCHEMA = "categoryid string, parentid string"
 
 
 def read_events(spark: SparkSession, path: str, schema: str = EVENT_SCHEMA) -> DataFrame:
-    return spark.read.schema(schema).csv(path, header=True)
+    return _whole_ids(spark.read.schema(schema).csv(path, header=True), "visitorid", "itemid", "transactionid")
+
+
+def _whole_ids(df: DataFrame, *ids: str) -> DataFrame:
+    return df.withColumns({c: safe_long(c) for c in ids if c in df.columns})
 
 
 def read_properties(spark: SparkSession, paths: list[str], schema: str = PROPERTY_SCHEMA) -> DataFrame:
     """All part files as one table."""
-    return spark.read.schema(schema).csv(list(paths), header=True)
+    return _whole_ids(spark.read.schema(schema).csv(list(paths), header=True), "itemid")
 
 
 def read_categories(spark: SparkSession, path: str, schema: str = CATEGORY_SCHEMA) -> DataFrame:
