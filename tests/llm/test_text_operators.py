@@ -189,7 +189,7 @@ def test_battery_equals_plain_python(spark):
         return 0.5 * erfc(z / 2**0.5)
 
     key, alphabet = "7f3a90b1c2d4e5f60718293a4b5c6d7e8f90a1b2", secrets_scan.DIGITS + "abcdef"
-    row = spark.range(1).select(secrets_scan.battery(F.lit(key), alphabet, 0.1).alias("p")).first().p
+    row = spark.range(1).select(secrets_scan.battery(F.lit(key), F.lit(alphabet), F.lit(secrets_scan.halves(alphabet)), F.lit(0.1)).alias("p")).first().p
     v = [alphabet.index(c) for c in key]
     n, k = len(v), 15
     chi = 16 / n * sum(c * c for c in collections.Counter(v).values()) - n

@@ -25,7 +25,7 @@ from .flat import SPACED, boundaries, flat, hashes, ragged, slices
 from .frames import ship
 
 #: Most chunks kept per worker; the table starts anew beyond that.
-KEPT_CHUNKS = 1_500_000
+KEPT_CHUNKS = 800_000
 
 
 def byte_letters() -> list[str]:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 #: An odd multiplier, its inverse modulo 2^64, and the finishing constants of a 64-bit mixer.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)

@@ -15,8 +15,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows per Arrow batch: documents may be long, and a batch is held on both sides.
+BATCH_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
-    """Python workers import this package from where the driver has it, unless it is installed or sent."""
+    """Python workers import this package from where the driver has it, unless it is installed or sent.
+
+    Arrow batches are kept to ``BATCH_ROWS`` rows where the session has Spark's default of 10,000.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
     if ROOT not in paths:

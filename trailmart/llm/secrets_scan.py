@@ -127,25 +127,28 @@ def _normal_tail(z: Column) -> Column:
     return F.when(z >= 0, upper).otherwise(1 - upper)
 
 
-def _square_sum(symbols: Column, alphabet: str) -> Column:
+def _square_sum(symbols: Column, alphabet: Column) -> Column:
     """Sum of squared counts over the alphabet."""
     return F.aggregate(
-        F.array(*[F.lit(c) for c in alphabet]),
+        F.split(alphabet, ""),
         F.lit(0.0),
         lambda acc, c: acc + F.pow(F.length(symbols) - F.length(F.replace(symbols, c, F.lit(""))), F.lit(2.0)),
     )
 
 
-def battery(symbols: Column, alphabet: str, agreement: float) -> Column:
-    """(p_random, p_ordinary) of a string over ``alphabet``."""
-    size = len(alphabet)
-    half = "".join("0" if i < size // 2 else "1" for i in range(size))
+def halves(alphabet: str) -> str:
+    """0 for the lower half of an alphabet, 1 for the upper."""
+    return "".join("0" if i < len(alphabet) // 2 else "1" for i in range(len(alphabet)))
+
+
+def battery(symbols: Column, alphabet: Column, half: Column, agreement: Column) -> Column:
+    """(p_random, p_ordinary) of a string over ``alphabet``; ``half`` is as ``halves`` gives it."""
 
     def tests(s):
-        n = F.length(s).cast("double")
+        n, size = F.length(s).cast("double"), F.length(alphabet).cast("double")
         chi = size / n * _square_sum(s, alphabet) - n
-        k = float(size - 1)
-        uneven = _normal_tail((F.pow(chi / k, F.lit(1 / 3)) - (1 - 2 / (9 * k))) / (2 / (9 * k)) ** 0.5)
+        k = size - 1
+        uneven = _normal_tail((F.pow(chi / k, F.lit(1 / 3)) - (1 - 2 / (9 * k))) / F.sqrt(2 / (9 * k)))
         shift = n * (size * agreement - 1)
         ordinary = 1 - _normal_tail((chi - k - shift) / F.sqrt(2 * k + 4 * shift))
 
@@ -168,54 +171,62 @@ def battery(symbols: Column, alphabet: str, agreement: float) -> Column:
                 spread = F.aggregate(values, F.lit(0.0), lambda a, v: a + (v - m) * (v - m))
                 pairs = F.zip_with(values, F.slice(values, 2, F.size(values)), lambda a, b: (a - m) * (b - m))
                 together = F.aggregate(F.slice(pairs, 1, F.size(values) - 1), F.lit(0.0), lambda a, v: a + v)
-                return F.when(spread > 0, 2 * _normal_tail(F.abs((together / spread + 1 / n) * F.sqrt(n)))).otherwise(F.lit(0.0))
+                return let(
+                    spread,
+                    lambda v: F.when(v > 0, 2 * _normal_tail(F.abs((together / v + 1 / n) * F.sqrt(n)))).otherwise(F.lit(0.0)),
+                )
 
             return let(mean, at)
 
-        values = F.transform(F.split(s, ""), lambda c: (F.instr(F.lit(alphabet), c) - 1).cast("double"))
-        smallest = F.least(uneven, let(F.translate(s, alphabet, half), runs), let(values, serial))
+        values = F.transform(F.split(s, ""), lambda c: (F.instr(alphabet, c) - 1).cast("double"))
+        smallest = F.least(uneven, let(F.call_function("translate", s, alphabet, half), runs), let(values, serial))
         return F.struct(F.least(3 * smallest, F.lit(1.0)).alias("p_random"), ordinary.alias("p_ordinary"))
 
     return let(symbols, tests)
 
 
-def _plain(run: Column, encoding: str) -> Column:
-    """Symbols of a run without padding, spelled in the encoding's alphabet."""
-    symbols = F.regexp_replace(run, "=+$", "")
-    if encoding in ("hex", "base36"):
-        return F.lower(symbols)
-    return F.translate(symbols, "-_", "+/") if encoding == "base64" else symbols
+def _encoding(core: Column) -> Column:
+    """The first encoding whose pattern fits, with what the tests need; null if none does."""
+    found = F.lit(None).cast("struct<name:string,alphabet:string,half:string,agreement:double>")
+    for name, (pattern, alphabet, agreement) in reversed(ENCODINGS.items()):
+        known = F.struct(
+            F.lit(name).alias("name"), F.lit(alphabet).alias("alphabet"), F.lit(halves(alphabet)).alias("half"), F.lit(agreement).alias("agreement")
+        )
+        found = F.when(core.rlike(pattern), known).otherwise(found)
+    return found
+
+
+def _plain(core: Column, name: Column) -> Column:
+    """Symbols spelled in the encoding's alphabet."""
+    return (
+        F.when(name.isin("hex", "base36"), F.lower(core)).when(name == "base64", F.translate(core, "-_", "+/")).otherwise(core)
+    )
 
 
 def candidates(text: Column) -> Column:
-    """Runs of key characters with encoding, length band and p-values, as an array."""
+    """Runs of key characters with encoding, length band and grade of their p-value, as an array."""
 
     def judged(span):
-        run = span["match"]
-        core = F.regexp_replace(run, "=+$", "")
-        encoding = F.lit(None).cast("string")
-        tests = F.struct(F.lit(0.0).alias("p_random"), F.lit(1.0).alias("p_ordinary"))
-        for name, (pattern, alphabet, agreement) in reversed(ENCODINGS.items()):
-            fits = core.rlike(pattern)
-            encoding = F.when(fits, F.lit(name)).otherwise(encoding)
-            tests = F.when(fits, battery(_plain(run, name), alphabet, agreement)).otherwise(tests)
-        return let(
-            tests,
-            lambda t: F.struct(
-                span["start"].alias("start"),
-                span["end"].alias("end"),
-                encoding.alias("encoding"),
-                F.floor(F.log2(F.length(core).cast("double"))).cast("int").alias("band"),
-                # Structured runs count in their family but are never findings.
-                F.when(t["p_random"] < REJECT_RANDOM, 0)
-                .otherwise(F.least(F.floor(-100 * F.log10(F.greatest(t["p_ordinary"], F.lit(1e-30)))), F.lit(GRADES)))
-                .cast("int")
-                .alias("grade"),
-            ),
-        )
+        def known(core, e):
+            return let(
+                battery(_plain(core, e["name"]), e["alphabet"], e["half"], e["agreement"]),
+                lambda t: F.struct(
+                    span["start"].alias("start"),
+                    span["end"].alias("end"),
+                    e["name"].alias("encoding"),
+                    F.floor(F.log2(F.length(core).cast("double"))).cast("int").alias("band"),
+                    # Structured runs count in their family but are never findings.
+                    F.when(t["p_random"] < REJECT_RANDOM, 0)
+                    .otherwise(F.least(F.floor(-100 * F.log10(F.greatest(t["p_ordinary"], F.lit(1e-30)))), F.lit(GRADES)))
+                    .cast("int")
+                    .alias("grade"),
+                ),
+            )
+
+        core = F.regexp_replace(span["match"], "=+$", "")
+        return let(core, lambda c: let(_encoding(c), lambda e: F.when(e.isNotNull(), known(c, e))))
 
-    found = F.transform(spans(text, RUN, "random"), judged)
-    return F.filter(found, lambda c: c["encoding"].isNotNull())
+    return F.filter(F.transform(spans(text, RUN, "random"), judged), lambda c: c.isNotNull())
 
 
 def thresholds(found: DataFrame, rate: float = FALSE_DISCOVERIES) -> DataFrame:
@@ -321,7 +332,7 @@ def redacted(docs: DataFrame, text: str = "text", length: str | None = "n_chars"
             rest = F.substring(F.col(text), (acc["at"] + 1).cast("int"), F.length(text))
             return F.concat(F.array_join(acc["parts"], ""), rest)
 
-        return F.when(F.size(ordered) > 0, F.aggregate(ordered, start, step, finish)).otherwise(F.col(text))
+        return let(ordered, lambda o: F.when(F.size(o) > 0, F.aggregate(o, start, step, finish)).otherwise(F.col(text)))
 
     new = fresh(docs, "_masked")
     out = docs.withColumn(new, let(found_in(_whole(text)), masked))

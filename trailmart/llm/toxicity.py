@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .flat import LETTERS, boundaries, flat, hashes, slices
 from .frames import ship
 
-SAMPLE = 12_000
+SAMPLE = 8_000
 WORDS_PER_CATEGORY = 100
 LEAST_TEXTS = 3
 FOLDS = 3
