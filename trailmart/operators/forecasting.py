@@ -183,7 +183,8 @@ def train_forecast(
         fitted = _estimator(candidate, early_stop).fit(ready)
     finally:
         ready.unpersist()
-    value = "expm1(raw_prediction)" if candidate.log_scale else "raw_prediction"
+    # A log of 50 stands for more than any count; beyond it the power would run over.
+    value = "expm1(least(raw_prediction, 50d))" if candidate.log_scale else "raw_prediction"
     finish = SQLTransformer(statement=f"select *, greatest({value}, 0d) as forecast from __THIS__")
     return PipelineModel([*inputs, fitted, finish])
 
@@ -198,6 +199,11 @@ def predict(model: PipelineModel, f: DataFrame) -> DataFrame:
     return model.transform(f).select("itemid", "date", TARGET, "forecast")
 
 
+def moving_average(f: DataFrame) -> DataFrame:
+    """(itemid, date, forecast): a seventh of the last seven rows' sales; a predictor that needs no model."""
+    return f.select("itemid", "date", (F.col("sales_sum_7d") / 7).alias("forecast"))
+
+
 def attach_forecast(mart: DataFrame, predictions: DataFrame) -> DataFrame:
     """The mart with the forecast made ``horizon`` days before each row's date."""
     made = predictions.select(
@@ -210,6 +216,11 @@ def score(model: PipelineModel, f: DataFrame) -> float | None:
     return predict(model, f).agg(wmape_of(TARGET, "forecast")).first()[0]
 
 
+def trees_used(model: PipelineModel) -> int:
+    """Trees a fitted tree model kept; fewer than its rounds when it stopped early."""
+    return next(s for s in model.stages if hasattr(s, "featureImportances")).getNumTrees
+
+
 def feature_importance(model: PipelineModel, top: int = 20) -> list[tuple[str, float]]:
     """Largest gains of a tree model; one entry per input column, so a short list."""
     names = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()

@@ -10,9 +10,21 @@ from pyspark.sql import functions as F
 
 from ..functions.histograms import fixed_hist, frequency_hist
 from ..functions.scalars import ratio, rounded
+from .forecasting import attach_forecast
 from .recommending import by_item_id, cooccurrence, reco_confidence
 
 
+def build_mart(counts: DataFrame, categories: DataFrame, predictions: DataFrame) -> DataFrame:
+    """(itemid, date, categoryid, sales, forecast) from the pipeline's own tables.
+
+    ``counts`` are the daily item counts, ``categories`` one category per item, ``predictions`` forecasts by the
+    day they were made on; a day without one has a null forecast.
+    """
+    sold = counts.select("itemid", "date", F.col("sales").cast("double").alias("sales"))
+    mart = sold.join(categories.select("itemid", F.col("categoryid").cast("bigint").alias("categoryid")), "itemid", "left")
+    return attach_forecast(mart, predictions).select("itemid", "date", "categoryid", "sales", "forecast")
+
+
 def filter_dates(mart: DataFrame, start, end) -> DataFrame:
     """Rows from ``start`` to ``end``, both included."""
     if str(start) > str(end):

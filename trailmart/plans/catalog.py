@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -574,6 +576,108 @@ def _(t):
     return _rows(t.spark, [*results, in_sample])
 
 
+@query("written_features")
+def _(t):
+    path = tables.write_table(_features(t), scratch_path(t.spark, "forecast_features"))
+    return tables.read_table(t.spark, path)
+
+
+@query("written_sequences")
+def _(t):
+    path = tables.write_table(t.sequences(), scratch_path(t.spark, "reco_sequences"))
+    return tables.read_table(t.spark, path)
+
+
+@query("assemble", digits=3)
+def _(t):
+    rows = _features(t)
+    for stage in M.assemble(M.feature_names(rows)):
+        rows = stage.transform(rows)
+    entries = vector_to_array("features")
+    total = F.aggregate(entries, F.lit(0.0), lambda a, x: a + x)
+    return rows.select("itemid", "date", F.size(entries).alias("width"), total.alias("total"))
+
+
+@query("poisson_balance", digits=3)
+def _(t):
+    """A fitted Poisson model with a free intercept meets the weighted total of its training rows."""
+    train, valid = M.temporal_split(_written_rows(t))
+    fitted = M.train_forecast(train, valid, M.Candidate("poisson")).transform(M.sample_weight(train))
+    weight = F.col("sample_weight")
+    return fitted.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(weight * F.col(M.TARGET)).alias("target_total"),
+        (F.sum(weight * F.col("forecast")) / F.sum(weight * F.col(M.TARGET))).alias("met"),
+    )
+
+
+@query("prediction_checks")
+def _(t):
+    """Predictions of each kind: one per validation row, finite, not negative, the same after saving."""
+    train, valid = M.temporal_split(_written_rows(t))
+    parts = []
+    for kind in ("poisson", "trees", "tweedie"):
+        model = M.train_forecast(train, valid, M.Candidate(kind, rounds=10))
+        path = tables.save_model(model, scratch_path(t.spark, "model"))
+        again = M.predict(tables.load_model(t.spark, [path]), valid)
+        both = M.predict(model, valid).join(again.select("itemid", "date", F.col("forecast").alias("again")), ["itemid", "date"])
+        value = F.col("forecast")
+        parts.append(
+            both.agg(
+                F.count(F.lit(1)).alias("n"),
+                F.count_if((value >= 0) & (value < float("inf"))).alias("good"),
+                F.count_if(value == F.col("again")).alias("equal"),
+            ).select(F.lit(kind).alias("kind"), "*")
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("importance_checks")
+def _(t):
+    """Gains of all inputs add up to one, none is negative, and the names are the table's."""
+    train, valid = M.temporal_split(_written_rows(t))
+    model = M.train_forecast(train, valid, M.Candidate("trees", rounds=10))
+    names = set(M.feature_names(train))
+    gains = M.feature_importance(model, top=10_000)
+    known = all(name.removeprefix("x_").removeprefix("null_") in names for name, _ in gains)
+    row = {"inputs": len(gains), "total": sum(g for _, g in gains), "lowest_ok": min(g for _, g in gains) >= 0, "known": known}
+    return _rows(t.spark, [row])
+
+
+@query("tuning_grid")
+def _(t):
+    """Every candidate has a finite score on every fold."""
+    options = [M.Candidate("tweedie", variance_power=1.1), M.Candidate("tweedie", variance_power=1.5, regularisation=0.3)]
+    results, _ = M.tune_forecast(_written_rows(t), options)
+    grid = _rows(t.spark, [{k: r[k] for k in ("candidate", "fold", "wmape")} for r in results])
+    return grid.select("candidate", "fold", ((F.col("wmape") > 0) & (F.col("wmape") < float("inf"))).alias("finite"))
+
+
+@query("early_stopping")
+def _(t):
+    """The tree learner ends before its limit once held-out rows no longer improve; without them it does not."""
+    train, valid = M.temporal_split(_written_rows(t))
+    limit = 60
+    c = M.Candidate("trees", rounds=limit, depth=5, step=0.3)
+    stopped = M.trees_used(M.train_forecast(train, valid, c))
+    return _rows(t.spark, [{"limit": limit, "stopped_early": stopped < limit}])
+
+
+def _bi_mart(t: StarTables) -> DataFrame:
+    counts = D.daily_item_counts(t.events())
+    return B.build_mart(counts, D.item_attribute(t.properties(), "categoryid"), M.moving_average(_features(t)))
+
+
+@query("bi_mart")
+def _(t):
+    return _bi_mart(t)
+
+
+@query("model_diagnostics")
+def _(t):
+    return V.forecast_metrics(_bi_mart(t))
+
+
 @query("quality_gate")
 def _(t):
     scores = tables.metrics_table(V.wmape(t.mart()))

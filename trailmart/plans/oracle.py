@@ -662,6 +662,61 @@ _oracle(
     "model_rows",
 )
 
+ORACLES["written_features"] = ORACLES["forecast_features"]
+ORACLES["written_sequences"] = ORACLES["reco_sequences"]
+_inputs = ["categoryid", *_real, *[n for n, _ in _sums + _lags], *[n for n, _ in _calendar]]
+_oracle(
+    "assemble",
+    f"""SELECT itemid, {_D} AS date, CAST({2 * len(_inputs)} AS BIGINT) AS width,
+        {_r(' + '.join(f"coalesce(CAST({c} AS DOUBLE), 0) + CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in _inputs), 3)} AS total
+        FROM (SELECT itemid, date, categoryid, {', '.join(_real)}, {', '.join(n for n, _ in _sums + _lags)}, {_cols(_calendar)} FROM features)""",
+    "features",
+)
+_view("train_rows", "SELECT * FROM model_rows WHERE date < (SELECT max(date) FROM model_rows) - 7", "model_rows")
+_oracle(
+    "poisson_balance",
+    f"""SELECT count(*) AS n, {_r('sum(greatest(sales_sum_7d, 0.1) * target_next7)', 3)} AS target_total,
+        CAST(1 AS DOUBLE) AS met FROM train_rows""",
+    "train_rows",
+)
+_oracle(
+    "prediction_checks",
+    """SELECT kind, n, n AS good, n AS equal FROM (SELECT unnest(['poisson', 'trees', 'tweedie']) AS kind),
+       (SELECT count(*) AS n FROM model_rows WHERE date >= (SELECT max(date) FROM model_rows) - 7)""",
+    "model_rows",
+)
+_oracle(
+    "importance_checks",
+    f"""SELECT CAST({2 * len(_inputs)} AS BIGINT) AS inputs, CAST(1 AS DOUBLE) AS total, TRUE AS lowest_ok, TRUE AS known
+        FROM (SELECT count(*) FROM model_rows)""",
+    "model_rows",
+)
+_oracle(
+    "tuning_grid",
+    """SELECT candidate, fold, TRUE AS finite FROM (SELECT CAST(unnest(range(0, 2)) AS BIGINT) AS candidate),
+       (SELECT DISTINCT CAST(block AS BIGINT) AS fold FROM blocks WHERE block > 0)""",
+    "blocks",
+)
+_oracle("early_stopping", "SELECT CAST(60 AS BIGINT) AS \"limit\", count(*) > 0 AS stopped_early FROM train_rows", "train_rows")
+_view(
+    "bi_mart",
+    """SELECT c.itemid, c.date, CAST(k.categoryid AS BIGINT) AS categoryid, CAST(c.sales AS DOUBLE) AS sales, f.sales_sum_7d / 7.0::DOUBLE AS forecast
+       FROM counts c LEFT JOIN item_cat k ON k.itemid = c.itemid
+       LEFT JOIN features f ON f.itemid = c.itemid AND CAST(f.date + INTERVAL 7 DAY AS DATE) = c.date""",
+    "counts",
+    "features",
+    "item_cat",
+)
+_oracle("bi_mart", f"SELECT itemid, {_D} AS date, categoryid, {_r('sales')} AS sales, {_r('forecast')} AS forecast FROM bi_mart", "bi_mart")
+_oracle(
+    "model_diagnostics",
+    f"""SELECT {_r('avg(abs(e))')} AS mae, {_r('sqrt(avg(e * e))')} AS rmse,
+        {_r('avg(abs(e / greatest(sales, 1e-6))) * 100')} AS mape,
+        {_r('1 - sum(e * e) / (var_pop(sales) * count(*))')} AS r2, count(*) AS samples
+        FROM (SELECT *, sales - forecast AS e FROM bi_mart WHERE forecast IS NOT NULL)""",
+    "bi_mart",
+)
+
 # evaluation -----------------------------------------------------------------
 
 _WMAPE = "sum(abs(sales - forecast)) / nullif(sum(abs(sales)), 0)"

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, evaluation, forecasting, recommending
-from ..operators.item_day import forecast_features
+from ..operators.item_day import daily_item_counts, forecast_features, item_attribute
+from ..operators.mart import build_mart
 from ..operators.sequences import item_index, reco_sequences
 from ..params import Params
 from ..sources import tables
@@ -60,6 +61,20 @@ def train_forecast(
     return forecasting.quality_gate(tables.metrics_table(report), {"wmape": params.max_wmape}, {})
 
 
+def mart(spark: SparkSession, interim: str, processed: str, out: str, model_path: str | None = None) -> DataFrame:
+    """Write the sales mart with forecasts of the saved model, or of the moving average; returns its diagnostics."""
+    events = tables.read_table(spark, f"{interim}/events_clean")
+    properties = tables.read_table(spark, f"{interim}/item_properties")
+    f = tables.read_table(spark, f"{processed}/forecast_features")
+    if model_path:
+        predictions = forecasting.predict(tables.load_model(spark, [model_path]), f)
+    else:
+        predictions = forecasting.moving_average(f)
+    built = build_mart(daily_item_counts(events), item_attribute(properties, "categoryid"), predictions)
+    tables.write_table(built, f"{out}/mart")
+    return tables.metrics_table(evaluation.forecast_metrics(tables.read_table(spark, f"{out}/mart")))
+
+
 def train_recommender(
     spark: SparkSession, processed: str, model_path: str, params: Params = DEFAULTS
 ) -> DataFrame:
