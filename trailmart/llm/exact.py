@@ -7,8 +7,9 @@ fixed number of bits, so its broadcast is bounded: at most ``bits / 64`` words o
 than it has bits for, more rows shuffle; the result stays exact.
 
 Defined results: a null text counts as empty; empty texts equal each other; a null key sorts after all
-others, and rows that share both text and key stay or go together, since nothing tells them apart. Input
-columns named like an added one are replaced; all others are carried.
+others, and rows that share both text and key stay or go together, since nothing tells them apart. A text that
+a third of all rows share is one row per task where it is counted; where its rows meet their group, adaptive
+joins split it. ``decisions`` reads key and text only; ``deduplicated`` carries all columns as they are.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from pyspark.sql import functions as F
 from .frames import fresh, written
 
 FILTER_BITS = 1 << 26
-ADDED = ("keep_id", "group_size", "kept", "text_sha256")
 
 
 def normalised(text: Column) -> Column:
@@ -61,7 +61,6 @@ def split_by_filter(rows: DataFrame, sha: str, words: DataFrame, bits: int) -> t
 
 def _groups(maybe: DataFrame, sha: str, key: str) -> DataFrame:
     """Smallest key and size of each text; summed in each task before the shuffle."""
-    # Keys are counted first by (text, key), which spreads a text that a third of all rows share.
     return maybe.groupBy(F.col(sha).alias("_sha")).agg(F.min(key).alias("_keep"), F.count("*").alias("_n"))
 
 

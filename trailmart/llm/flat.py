@@ -27,7 +27,6 @@ def byte_table(separators: bytes, lower: bool = True) -> np.ndarray:
 
 #: ``[\x20\x09-\x0D]`` separates.
 SPACED = byte_table(b" \t\n\v\f\r")
-SPACED_AS_IS = byte_table(b" \t\n\v\f\r", lower=False)
 #: Only ASCII letters and the bytes of other characters are kept.
 LETTERS = byte_table(bytes(b for b in range(128) if not chr(b).isalpha()))
 

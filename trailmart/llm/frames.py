@@ -15,8 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Python workers live on between tasks: freed arrays go back to the system.
+WORKER_MEMORY = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_MMAP_THRESHOLD_": "4194304",
+    "MALLOC_TRIM_THRESHOLD_": "16777216",
+}
 #: Rows per Arrow batch: documents may be long, and a batch is held on both sides.
-BATCH_ROWS = 1000
+BATCH_ROWS = 300
 
 
 def ship(spark: SparkSession) -> None:
@@ -27,6 +33,9 @@ def ship(spark: SparkSession) -> None:
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     env = spark.sparkContext.environment
+    for name, value in WORKER_MEMORY.items():
+        if name not in os.environ:
+            env.setdefault(name, value)
     paths = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [ROOT])

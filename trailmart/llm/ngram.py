@@ -12,7 +12,7 @@ found in the shard of the word itself: texts are scored by one exchange, without
 
 Tokens travel as sorted arrays, one per shard and run of documents, so counts are summed before they move.
 Words with a large share of all tokens are dealt by word and context; only their counts are broadcast, and
-there are at most ``8 * shards`` of them.
+there are at most ``4 * shards`` of them.
 
 Defined results: a null or empty text is its end token; a null id counts as an empty one for the split; rows
 repeat as they come; without training texts every count is 0. Other columns play no part.
@@ -122,15 +122,14 @@ def heavy_words(rows: DataFrame, shards: int) -> np.ndarray:
         for _, _, word, _, _ in runs(batches):
             distinct, count = np.unique(word, return_counts=True)
             large = count * 16 * shards >= len(word)
-            n = int(large.sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(distinct[large].view(np.int64)), pa.array(count[large]), pa.array(np.append(len(word), np.zeros(n - 1, np.int64)) if n else np.zeros(0, np.int64))],
-                names=["word", "n", "total"],
-            )
+            # The last row carries the run's number of tokens.
+            arrays = [np.append(distinct[large].view(np.int64), 0), np.append(count[large], 0), np.zeros(int(large.sum()) + 1, np.int64)]
+            arrays[2][-1] = len(word)
+            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["word", "n", "total"])
 
     sums = rows.mapInArrow(run, "word bigint, n bigint, total bigint")
     total = sums.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("t")).first().t
-    found = sums.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") * 4 * shards >= total).collect()
+    found = sums.groupBy("word").agg(F.sum("n").alias("n")).where((F.col("n") > 0) & (F.col("n") * 4 * shards >= total)).collect()
     return np.sort(np.array([r.word for r in found], np.int64).view(np.uint64))
 
 
@@ -235,7 +234,7 @@ def train(rows: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
         if held:
             yield made()
 
-    moved = rows.mapInArrow(counted, ROW).repartition(shards, "shard").sortWithinPartitions("shard")
+    moved = rows.mapInArrow(counted, ROW).repartition(2 * shards, "shard").sortWithinPartitions("shard")
     return written(moved.mapInArrow(built, "shard int, body binary"), "trie")
 
 
@@ -362,7 +361,7 @@ def score(rows: DataFrame, tries: DataFrame, shards: int, hot: np.ndarray, kappa
 
     stored = tries.select("shard", F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("run"), "body")
     both = rows.mapInArrow(asked, ROW).unionByName(stored)
-    answers = both.repartition(shards, "shard").sortWithinPartitions("shard", "kind").mapInArrow(answered, ROW)
+    answers = both.repartition(2 * shards, "shard").sortWithinPartitions("shard", "kind").mapInArrow(answered, ROW)
     back = answers.repartition("run").sortWithinPartitions("run", "kind")
     out = "key bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return back.mapInArrow(summed, out)
