@@ -368,6 +368,47 @@ def test_similar_texts_join_and_others_do_not(spark, documents):
     assert all(got[10 * i + 1] == 10 * i and got[10 * i + 2] == 10 * i + 2 for i in range(40))
 
 
+def jaccard(a, b, k=5):
+    a, b = ({tuple(t[i : i + k]) for i in range(max(1, len(t) - k + 1))} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("blocks", [(256, 1_000_000), (3, 2000)])  # whole components, and components cut into blocks
+def test_links_of_similar_texts_equal_brute_force(spark, documents, monkeypatch, blocks):
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", blocks[0])
+    monkeypatch.setattr(simhash, "BLOCK_SHINGLES", blocks[1])
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(5000)]
+    texts = {}
+    for i in range(100):  # pairs from 0.65 to 0.95
+        text = rng.choice(words, 200).tolist()
+        near = list(text)
+        for at in range(1 + i % 9):
+            near[10 + 20 * at] = f"x{i}"
+        texts |= {10 * i: text, 10 * i + 1: near}
+    text = rng.choice(words, 200).tolist()
+    for n in range(40):  # a chain whose ends differ, and members that differ from the first by little
+        text = list(text)
+        text[5 * n] = "y"
+        texts[5000 + n] = text
+    links = [(a, b) for a in texts for b in texts if a < b and (a // 10 == b // 10 or a >= 5000 <= b) and jaccard(texts[a], texts[b]) >= 0.8]
+    some = [round(jaccard(texts[10 * i], texts[10 * i + 1]), 2) for i in range(9)]
+    assert min(some) < 0.67 and max(some) > 0.94
+    ids = sorted(texts)
+    place = {d: n for n, d in enumerate(ids)}
+    label = merged(len(ids), np.array([place[a] for a, _ in links]), np.array([place[b] for _, b in links]), np.arange(len(ids)))
+    got = {r.doc_id: r.component for r in simhash.similar(documents([(d, " ".join(t)) for d, t in texts.items()])).collect()}
+    wanted = {d: ids[n] for d, n in zip(ids, label.tolist())}
+    assert all(wanted[d] == wanted[component] for d, component in got.items())  # no false link, no false chain
+    assert sum(got[d] != wanted[d] for d in ids) <= 1  # the search is one by chance
+
+
+def test_short_and_equal_sets(spark, documents):
+    rows = [(1, "a b c d e f g h"), (2, "a b c d e f g h i"), (3, "a b c d e f g h i j k"), (4, ""), (5, None), (6, "x"), (6, "y"), (None, "x")]
+    got = simhash.similar(documents(rows)).collect()
+    assert sorted((r.doc_id or 0, r.component) for r in got) == [(0, 6), (1, 1), (2, 1), (3, 3), (4, 4), (5, 4), (6, 6), (6, 6)]
+
+
 def test_components(spark):
     chain = [(i + 1, i) for i in range(200)]
     star = [(1000, x) for x in range(1001, 1300)]

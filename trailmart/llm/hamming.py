@@ -24,6 +24,8 @@ from .frames import ship
 
 BUCKET_ROWS = 4096
 PAIRS_AT_ONCE = 1_000_000
+#: Pairs that a test sees before those joined meanwhile are left out, where only the joining counts.
+TESTED_AT_ONCE = 4096
 #: Most oversized buckets whose list is broadcast; a longer list is joined by a shuffle.
 LISTED_BUCKETS = 100_000
 
@@ -83,6 +85,19 @@ def merged(n: int, left: np.ndarray, right: np.ndarray, label: np.ndarray) -> np
     return label
 
 
+def tested(label: np.ndarray, left: np.ndarray, right: np.ndarray, test: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """``label`` after adding the pairs that pass the test; a pair that is joined already needs none."""
+    while len(left):
+        apart = label[left] != label[right]
+        left, right = left[apart], right[apart]
+        i, j = left[:TESTED_AT_ONCE], right[:TESTED_AT_ONCE]
+        left, right = left[TESTED_AT_ONCE:], right[TESTED_AT_ONCE:]
+        if len(i):
+            good = test(i, j)
+            label = merged(len(label), i[good], j[good], label)
+    return label
+
+
 def bucket_rows(items: DataFrame, groups: list[Group]) -> DataFrame:
     """Rows (part, bucket, home, and the item's columns) for each bucket an item is in."""
     ship(items.sparkSession)
@@ -146,6 +161,18 @@ def linked(
     reads: given the columns of a run of rows it returns a test of row numbers against row numbers. Rows of one
     node must be summed over; the pairs (node, other) join all that is linked.
     """
+    return linked_in_buckets(_blocks(bucket_rows(items, groups)), groups, most_bits, verify)
+
+
+def linked_in_buckets(
+    rows: DataFrame,
+    groups: list[Group],
+    most_bits: int,
+    verify: Callable[[dict[str, pa.Array]], Callable[[np.ndarray, np.ndarray], np.ndarray]] | None = None,
+    forest: bool = False,
+) -> DataFrame:
+    """As ``linked``, of rows that have their bucket and blocks. With ``forest`` the links are not counted, and
+    only pairs that are not joined yet are tested."""
     keys = ["part", "bucket", "low", "high"]
 
     def compare(table: pa.Table) -> pa.RecordBatch | None:
@@ -184,12 +211,17 @@ def linked(
                 if radius >= 0:
                     good &= ~((part[i] > p) & (bits_set(apart & mask) <= radius))
             i, j = i[good], j[good]
+            if forest:
+                label = tested(label, i, j, test)
+                continue
             if test is not None and len(i):
                 good = test(i, j)
                 i, j = i[good], j[good]
             if len(i):
                 links += np.bincount(i, weight[j], n).astype(np.int64) + np.bincount(j, weight[i], n).astype(np.int64)
                 label = merged(n, i, j, label)
+        if forest:
+            links += label != np.arange(n)
         out = np.flatnonzero(links > 0)
         if not len(out):
             return None
@@ -218,5 +250,4 @@ def linked(
             if made is not None:
                 yield made
 
-    rows = _blocks(bucket_rows(items, groups))
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "node bigint, other bigint, links bigint")

@@ -16,7 +16,7 @@ without an id gets the component of the others with its fingerprint, or none. Ot
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .flat import BASE, SPACED, boundaries, flat, mixed, ragged, slices
 from .frames import ship, written
-from .hamming import Group, codes_of, linked
+from .hamming import Group, codes_of, linked, linked_in_buckets
 
 SHINGLE = 4
 MOST_BITS = 4
@@ -35,10 +35,15 @@ SEED = 42
 GROUP_COUNTS = (2, 3, 4, 5)
 #: What a row to probe with costs, in verified candidates.
 PROBE_COST = 30.0
-RECALL = 0.97
+RECALL = 0.995
 #: Words of the fingerprints that estimate a similarity, and those of them that the search looks at.
 WORDS = 8
 SEARCHED_WORDS = 4
+#: Standard errors beyond the similarity up to which a pair is a candidate.
+CANDIDATE_ERRORS = 4.0
+#: Members of a candidate component in a block, as long as there are few blocks, and most shingles in one.
+BLOCK_ROWS, SPREAD_BLOCKS, BLOCK_SHINGLES = 256, 16, 1_000_000
+SHINGLES_AT_ONCE = 1_000_000
 
 
 def shingle_bytes(texts: pa.Array, k: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
@@ -59,8 +64,8 @@ def shingle_bytes(texts: pa.Array, k: int) -> tuple[bytes, np.ndarray, np.ndarra
     return joined.tobytes(), place[first], place[last] + length[last], count
 
 
-def fingerprints_of(texts: pa.Array, k: int = SHINGLE, words: int = 1, distinct: bool = False) -> np.ndarray:
-    """Fingerprints as rows of ``words`` 64-bit words; with ``distinct`` a repeated shingle counts once."""
+def shingles_of(texts: pa.Array, k: int, distinct: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles, text after text, and their number per text; with ``distinct`` each once, sorted."""
     joined, start, end, count = shingle_bytes(texts, k)
     digest = xxhash.xxh64_intdigest
     h = np.array([digest(joined[a:b], SEED) for a, b in zip(start.tolist(), end.tolist())], np.uint64)
@@ -70,6 +75,16 @@ def fingerprints_of(texts: pa.Array, k: int = SHINGLE, words: int = 1, distinct:
         h, text = h[order], text[order]
         new = np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1]))
         h, count = h[new], np.bincount(text[new], minlength=len(count))
+    return h, count
+
+
+def fingerprints_of(texts: pa.Array, k: int = SHINGLE, words: int = 1, distinct: bool = False) -> np.ndarray:
+    """Fingerprints as rows of ``words`` 64-bit words; with ``distinct`` a repeated shingle counts once."""
+    return folded(*shingles_of(texts, k, distinct), words)
+
+
+def folded(h: np.ndarray, count: np.ndarray, words: int = 1) -> np.ndarray:
+    """Fingerprints of the hashes of ``shingles_of``."""
     out = np.zeros((len(count), words), np.uint64)
     some = np.flatnonzero(count)
     if len(some):
@@ -83,6 +98,13 @@ def fingerprints_of(texts: pa.Array, k: int = SHINGLE, words: int = 1, distinct:
     return out
 
 
+def sums_of(h: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """One number for each set of hashes, which tells it from other sets; 0 for none."""
+    total = np.append(np.uint64(0), np.cumsum(mixed(h ^ np.uint64(BASE)), dtype=np.uint64))
+    ends = np.cumsum(count)
+    return (total[ends] - total[ends - count]).view(np.int64)
+
+
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, words: int = 1, distinct: bool = False) -> DataFrame:
     """(key, code): the fingerprint of each whole text, a number, or bytes if it has several words."""
     ship(docs.sparkSession)
@@ -257,19 +279,98 @@ def plan_for_similarity(items: DataFrame, words: int, similarity: float, recall:
     return min(choices, key=lambda c: c[0])[1]
 
 
+def set_rows(docs: DataFrame, key: str, text: str, k: int, words: int = 0) -> DataFrame:
+    """(key, code, shape) of each whole text, or without ``words`` (key, shape, shingles).
+
+    ``shape`` stands for the set of distinct shingles, whose hashes are in ``shingles``.
+    """
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                h, count = shingles_of(part.column("text"), k, distinct=True)
+                columns = {"key": part.column("key"), "shape": pa.array(sums_of(h, count))}
+                if words:
+                    columns["code"] = pa.array([c.tobytes() for c in folded(h, count, words)], pa.binary())
+                else:
+                    at = pa.array(np.append(0, np.cumsum(count)).astype(np.int32))
+                    columns["shingles"] = pa.ListArray.from_arrays(at, pa.array(h.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    rows = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, "key bigint, shape bigint, " + ("code binary" if words else "shingles array<bigint>"))
+
+
+def overlapping(similarity: float) -> Callable[[dict[str, pa.Array]], Callable[[np.ndarray, np.ndarray], np.ndarray]]:
+    """A test of rows against rows: the exact Jaccard similarity of their ``shingles`` reaches ``similarity``."""
+
+    def verify(columns: dict[str, pa.Array]) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+        sets = columns["shingles"]
+        size = sets.value_lengths().to_numpy().astype(np.int64)
+        known, ids = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        row = np.repeat(np.arange(len(size)), size)
+        placed = np.sort(row * len(known) + ids)  # sorted within each row, rows in turn
+        ids = placed - row * len(known)
+        first = np.cumsum(size) - size
+
+        def test(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(i), bool)
+            small = np.where(size[i] <= size[j], i, j)
+            large = i + j - small
+            total = np.cumsum(size[small])
+            begin = 0
+            while begin < len(i):
+                before = total[begin - 1] if begin else 0
+                end = max(begin + 1, int(np.searchsorted(total, before + SHINGLES_AT_ONCE, "right")))
+                a, b = small[begin:end], large[begin:end]
+                asked = ragged(ids, first[a], size[a]) + np.repeat(b * len(known), size[a])
+                at = np.minimum(np.searchsorted(placed, asked), len(placed) - 1)
+                common = np.bincount(np.repeat(np.arange(len(a)), size[a]), placed[at] == asked, len(a))
+                out[begin:end] = common / np.maximum(size[a] + size[b] - common, 1) >= similarity
+                begin = end
+            return out
+
+        return test
+
+    return verify
+
+
+def _meeting(members: DataFrame) -> DataFrame:
+    """The members of each candidate component cut into blocks; each two blocks meet in one place."""
+    held = members.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.size("shingles")).alias("load"))
+    spread = F.least(F.ceil(F.col("n") / BLOCK_ROWS), F.lit(SPREAD_BLOCKS))
+    held = held.select("bucket", F.greatest(spread, F.ceil(F.col("load") / BLOCK_SHINGLES), F.lit(1)).cast("int").alias("blocks"))
+    cut = members.join(held, "bucket").withColumn("block", F.pmod(F.xxhash64("node", "shape"), F.col("blocks")).cast("int"))
+    met = cut.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.withColumns({"low": F.least("block", "met"), "high": F.greatest("block", "met")})
+    return met.select(F.lit(0).alias("part"), "bucket", F.lit(True).alias("home"), "node", "code", "size", "shingles", "block", "low", "high")
+
+
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, words: int = WORDS, searched: int = SEARCHED_WORDS) -> DataFrame:
-    """(key, code, component) over links of texts whose estimated similarity reaches ``similarity``.
+    """(key, code, component) over links of texts whose distinct shingles have a Jaccard similarity of ``similarity`` or more.
 
-    Fingerprints have ``64 * words`` bits over the distinct shingles; the first ``searched`` words serve the
-    search, all of them the decision. The share of bits that differ estimates the similarity; a pair links up
-    to one standard error beyond the share that ``similarity`` stands for.
+    Texts with the same set of shingles are one class. Fingerprints have ``64 * words`` bits over the distinct
+    shingles; the first ``searched`` words serve the search. Classes that meet there and differ in at most the
+    bits that ``similarity`` stands for and ``CANDIDATE_ERRORS`` standard errors are candidates. Of the members
+    of each component of candidates the shingles are brought together, once, and decide each pair exactly; the
+    links that hold make the components of the result.
     """
     bits = 64 * words
     p = odds_of_bit(similarity)
-    most = math.floor(bits * p + math.sqrt(bits * p * (1 - p)))
-    codes = written(fingerprints(docs, key, text, k, words, distinct=True), "fingerprints")
-    found = grouped(codes, lambda classes: plan_for_similarity(classes, searched, similarity), most)
-    return found.select(F.col("key").alias(key), "code", "component")
+    most = math.floor(bits * p + CANDIDATE_ERRORS * math.sqrt(bits * p * (1 - p)))
+    codes = written(set_rows(docs, key, text, k, words), "fingerprints")
+    classes = codes.groupBy("code", "shape").agg(F.min("key").alias("node")).where("node is not null")
+    classes = written(classes.select("node", "code", "shape", F.lit(1).cast("bigint").alias("size")), "classes")
+    met = linked(classes, plan_for_similarity(classes, searched, similarity), most)
+    near = components(met.select(F.col("node").alias("a"), F.col("other").alias("b")))
+    sets = set_rows(docs.join(near.select(F.col("node").alias(key)), key, "left_semi"), key, text, k).withColumnRenamed("key", "node")
+    members = classes.join(near.withColumnRenamed("component", "bucket"), "node").join(sets.dropDuplicates(["node", "shape"]), ["node", "shape"])
+    members = written(members, "candidates")
+    links = linked_in_buckets(_meeting(members), [], most, overlapping(similarity), forest=True)
+    found = components(links.select(F.col("node").alias("a"), F.col("other").alias("b")))
+    named = classes.join(found, "node", "left").select("code", "shape", F.coalesce("component", "node").alias("component"))
+    return codes.join(named, ["code", "shape"], "left").select(F.col("key").alias(key), "code", "component")
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8) -> DataFrame:
