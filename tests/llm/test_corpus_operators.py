@@ -228,6 +228,24 @@ def test_embeddings_recall_on_pairs_at_the_threshold(spark):
     assert (got <= links).all() and got.sum() / links.sum() >= 0.9
 
 
+@pytest.mark.parametrize("n", [20_000, 1_000_000])
+@pytest.mark.parametrize("norm", [0.0, 0.45, 0.71, 0.9])
+def test_embeddings_tables_with_a_common_direction(norm, n):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(12_000, 64))
+    x[:, 0] = 0
+    x *= (1 - norm**2) ** 0.5 / np.linalg.norm(x, axis=1, keepdims=True)
+    x[:, 0] = norm
+    mean, projection = itq.learn(x[:8000])
+    groups = itq.tables(n, 64, itq.apart(x[:8000], 0.9))
+    base, side = x[8000:], rng.normal(size=(4000, 64))
+    side -= (side * base).sum(1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    near = itq.codes(base, mean, projection) ^ itq.codes(0.9 * base + 0.19**0.5 * side, mean, projection)
+    found = np.any([np.bitwise_count(near & g.mask(1)[0]) <= g.radius for g in groups], axis=0)
+    assert found.mean() >= 0.92
+
+
 def test_embeddings_query_equals_brute_force(spark):
     folder = "/root/testdata/check_s"
     rows = {r.vec_id: r for r in queries.op4_embeddings(spark, folder).collect()}

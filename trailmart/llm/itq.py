@@ -4,7 +4,9 @@ A rotation is learned on a bounded sample (about ``SAMPLE`` vectors, those with
 principal axes first, then turns between the signs and the rotation that meets them best. All vectors get
 the signs as a code. The code is cut into groups of bits; vectors whose bits agree in a group, up to its
 radius, are candidates, and their cosine in double precision decides. Number and radius of the groups are the
-cheapest whose expected recall for a pair right at the threshold is ``RECALL``; closer pairs fare better.
+cheapest whose recall for pairs right at the threshold is ``RECALL``; closer pairs fare better. The recall is that
+of pairs built at the threshold around sampled vectors, as a mean and rotation learned from others code them: after the mean is taken
+off, pairs are further apart than their cosine says.
 
 Equal vectors are one class with a size, so copies of one vector never meet each other.
 
@@ -34,9 +36,11 @@ RECALL = 0.93
 #: What a row of a Hamming table costs, in candidates.
 ROW_COST = 200.0
 GROUP_COUNTS = (1, 2, 3, 4, 5, 6, 8, 10, 12, 16)
-#: Codes of a pair at the threshold differ in far fewer bits, of 64.
+#: Codes of a pair at the threshold differ in far fewer bits, of 64, unless the built pairs say otherwise.
 MOST_SHARE = 0.45
 PAIRS_AT_ONCE = 20_000
+#: Pairs at the threshold that the groups are planned with.
+PLANNED_PAIRS = 8192
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -71,23 +75,44 @@ def codes(x: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.ndarray
     return np.packbits(full, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def tables(n: int, bits: int, cosine: float, recall: float = RECALL) -> list[Group]:
-    """The cheapest groups of bits with the wanted recall at the threshold."""
-    differ = math.acos(min(1.0, max(-1.0, cosine))) / math.pi
+def apart(x: np.ndarray, cosine: float, pairs: int = PLANNED_PAIRS) -> np.ndarray:
+    """Bits that differ between vectors of ``x`` and others at this cosine, in any direction from them.
+
+    Every second vector is learned from, for this only, and the pairs are built around the others: the signs of
+    vectors that were learned from are steadier than those of the rest.
+    """
+    mean, projection = learn(x[::2])
+    x = x[1::2] if len(x) > 1 else x
+    x = x[np.arange(pairs) % len(x)]
+    side = np.random.default_rng(11).normal(size=x.shape)
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    side /= np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-300)
+    return codes(x, mean, projection) ^ codes(cosine * x + math.sqrt(1 - cosine**2) * side, mean, projection)
+
+
+def met(differ: np.ndarray, groups: list[Group]) -> float:
+    """Share of the pairs with these differing bits that meet in some group."""
+    found = np.zeros(len(differ), bool)
+    for g in groups:
+        found |= np.bitwise_count(differ & g.mask(1)[0]) <= g.radius
+    return float(found.mean())
+
+
+def tables(n: int, bits: int, differ: np.ndarray, recall: float = RECALL) -> list[Group]:
+    """The cheapest groups of bits in which the wanted share of pairs at the threshold (see ``apart``) meets."""
     best = None
     for m in (m for m in GROUP_COUNTS if m <= bits):
         widths = [bits // m + (i < bits % m) for i in range(m)]
+        ends = np.cumsum(widths).tolist()
         for radius in range(4):
-            missed, cost = 1.0, 0.0
+            cost = 0.0
             for w in widths:
                 ball = sum(math.comb(w, t) for t in range(min(radius, w) + 1))
-                missed *= 1 - sum(math.comb(w, t) * differ**t * (1 - differ) ** (w - t) for t in range(min(radius, w) + 1))
                 cost += n * (1 + (ball - 1) / 2) * ROW_COST + n * n / 2 * ball / 2**w
-            if 1 - missed >= recall and (best is None or cost < best[0]):
-                best = (cost, widths, radius)
-    _, widths, radius = best or (0.0, [bits], bits)
-    ends = np.cumsum(widths)
-    return [Group(tuple(range(e - w, e)), radius) for w, e in zip(widths, ends.tolist())]
+            groups = [Group(tuple(range(e - w, e)), radius) for w, e in zip(widths, ends)]
+            if (best is None or cost < best[0]) and met(differ, groups) >= recall:
+                best = (cost, groups)
+    return best[1] if best else [Group((), 0)]  # no group sorts out enough: all meet
 
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = COSINE, sample: int = SAMPLE) -> DataFrame:
@@ -113,9 +138,10 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     n = classes.count()
     # With fewer than a few samples' worth of vectors the share may be chance: then all of them are taken.
     limit = int((1.0 if n <= 2 * sample else sample / n) * (1 << 62)) - 1
-    mean, projection = _learned(classes.where(F.shiftrightunsigned(F.xxhash64("vector"), 2) <= limit))
+    mean, projection, differ = _learned(classes.where(F.shiftrightunsigned(F.xxhash64("vector"), 2) <= limit), cosine)
     bits = projection.shape[1]
-    groups = tables(n, bits, cosine)
+    groups = tables(n, bits, differ)
+    most = max(1, int(MOST_SHARE * bits), int(np.bitwise_count(differ).max()))
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -138,7 +164,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
 
         return test
 
-    links = written(linked(items, groups, max(1, int(MOST_SHARE * bits)), rerank), "vector-links")
+    links = written(linked(items, groups, most, rerank), "vector-links")
     counted = links.groupBy("node").agg(F.sum("links").alias("links"))
     found = components(links.select(F.col("node").alias("a"), F.col("other").alias("b")))
     named = classes.select("node", "vector", "smallest", "size").join(counted, "node", "left").join(found, "node", "left")
@@ -157,17 +183,21 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     )
 
 
-def _learned(chosen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and projection, learned in one task over the bounded sample."""
+def _learned(chosen: DataFrame, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mean, projection and the bits of ``apart``, learned in one task over the bounded sample."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [matrix(b.column("vector")) for b in batches if len(b)]
         if parts:
             x = np.concatenate(parts)
-            mean, projection = learn(x[np.lexsort(x.T)])  # whatever order they come in
+            x = x[np.lexsort(x.T)]  # whatever order they come in
+            mean, projection = learn(x)
             flat = np.concatenate([mean, projection.ravel()])
-            yield pa.RecordBatch.from_arrays([pa.array([len(mean)], pa.int32()), pa.array([flat], pa.list_(pa.float64()))], names=["d", "w"])
+            differ = apart(x, cosine).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([len(mean)], pa.int32()), pa.array([flat], pa.list_(pa.float64())), pa.array([differ], pa.list_(pa.int64()))], names=["d", "w", "differ"]
+            )
 
-    row = chosen.select("vector").repartition(1).mapInArrow(run, "d int, w array<double>").collect()
+    row = chosen.select("vector").repartition(1).mapInArrow(run, "d int, w array<double>, differ array<bigint>").collect()
     d, w = row[0].d, np.array(row[0].w)
-    return w[:d], w[d:].reshape(d, -1)
+    return w[:d], w[d:].reshape(d, -1), np.array(row[0].differ, np.int64).view(np.uint64)
