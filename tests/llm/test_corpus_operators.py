@@ -274,6 +274,15 @@ def test_embeddings_odd_rows(spark):
     assert itq.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_several_lengths(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=4 + 4 * (i % 2)).tolist()) for i in range(40)]
+    rows += [(100 + i, [2 * c for c in v]) for i, v in rows] + [(200, [1.0, 2.0])]
+    out = {r.vec_id: r for r in itq.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), cosine=0.999).collect()}
+    assert len(out) == 81 and out[200].n_links == 0 and out[200].kept
+    assert all(out[i].n_links >= 1 and out[i].component_id == out[100 + i].component_id for i in range(40))
+
+
 def test_rotation_balances_bits():
     x = np.random.default_rng(2).normal(size=(2000, 16)) * np.linspace(3, 0.5, 16) + 1
     x /= np.linalg.norm(x, axis=1, keepdims=True)

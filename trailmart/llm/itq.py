@@ -10,15 +10,16 @@ off, pairs are further apart than their cosine says.
 
 Equal vectors are one class with a size, so copies of one vector never meet each other.
 
-Defined results: a vector that is null, empty, zero, of another length than most, or that holds a null or a
-component that is not finite links with nothing, as does one without an id; it is kept. Repeated rows link
-with each other. Columns besides id and vector play no part.
+Defined results: a vector that is null, empty, zero, or that holds a null or a component that is not finite
+links with nothing, as does one without an id; it is kept. Vectors link with those of their own length, each
+length is learned and searched by itself. Repeated rows link with each other. Columns besides id and vector play no part.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -122,16 +123,27 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     nonzero = F.exists("vector", lambda v: v != 0)
     usable = whole.where(F.col("key").isNotNull() & F.col("vector").isNotNull() & finite & nonzero)
-    usual = usable.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
-    alone = whole.select(
+    lengths = sorted(r.d for r in usable.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).where("n > 1").collect())
+    named = [_named(usable.where(F.size("vector") == d), cosine, sample) for d in lengths]
+    if not named:
+        return whole.select(
+            F.col("key").alias(key),
+            F.lit(0).cast("bigint").alias("n_links"),
+            F.col("key").alias("component_id"),
+            F.lit(True).alias("kept"),
+        )
+    # Every usable vector is in a class, but for those alone with their length; the others are in none.
+    joined = whole.join(reduce(DataFrame.unionByName, named), (F.col("vector") == F.col("v")) & F.col("key").isNotNull(), "left")
+    return joined.select(
         F.col("key").alias(key),
-        F.lit(0).cast("bigint").alias("n_links"),
-        F.col("key").alias("component_id"),
-        F.lit(True).alias("kept"),
+        F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"),
+        F.coalesce("component_id", "key").alias("component_id"),
+        F.coalesce(F.col("key") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
-    if not usual:
-        return alone
-    usable = usable.where(F.size("vector") == usual[0].d)
+
+
+def _named(usable: DataFrame, cosine: float, sample: int) -> DataFrame:
+    """(v, links, component_id) of each distinct vector among vectors of one length."""
     # Classes of equal vectors; the numbers are made once, in the written table.
     classes = usable.groupBy("vector").agg(F.min("key").alias("smallest"), F.count("*").alias("size"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "vectors")
@@ -170,17 +182,9 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     named = classes.select("node", "vector", "smallest", "size").join(counted, "node", "left").join(found, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("smallest").alias("component_id"))
-    named = named.join(least, "component").select(
+    return named.join(least, "component").select(
         F.col("vector").alias("v"), (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"), "component_id"
     )
-    # Every usable vector is in a class; the others are in none.
-    joined = whole.join(named, (F.col("vector") == F.col("v")) & F.col("key").isNotNull(), "left")
-    return joined.select(
-        F.col("key").alias(key),
-        F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"),
-        F.coalesce("component_id", "key").alias("component_id"),
-        F.coalesce(F.col("key") == F.col("component_id"), F.lit(True)).alias("kept"),
-    )
 
 
 def _learned(chosen: DataFrame, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
