@@ -23,13 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .frames import written
-from .running import offsets
+from .running import copies, offsets
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: Nodes of a block: 2 to this power. A level of 256 digests is 16 KB.
 BITS = 8
-#: Copies of one row handed out at a time.
-RUN = 4096
 
 
 def field(value: Column) -> Column:
@@ -133,14 +131,6 @@ def descend(tiers: list[DataFrame], above: DataFrame) -> DataFrame:
     return nodes
 
 
-def copies(rows: DataFrame, number: str, at: str) -> DataFrame:
-    """Each row ``number`` times, ``at`` going up by one, in runs so that no array is long."""
-    zero, run = F.lit(0).cast("bigint"), F.lit(RUN).cast("bigint")
-    rows = rows.select("*", F.explode(F.sequence(zero, F.col(number) - 1, run)).alias("_run"))
-    inside = F.sequence(zero, F.least(run, F.col(number) - F.col("_run")) - 1)
-    return rows.select("*", F.explode(inside).alias("_in")).withColumn(at, F.col(at) + F.col("_run") + F.col("_in")).drop("_run", "_in")
-
-
 def manifest(
     docs: DataFrame, key: str = "doc_id", group: str = "lang", fields: Sequence[str] = FIELDS, changed: dict[str, Column] | None = None, when: Column | None = None
 ) -> DataFrame:

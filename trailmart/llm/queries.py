@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, itq, licences, merkle, ngram, packing, secrets_scan, sharding, simhash, toxicity
+from . import bpe, exact, itq, licences, merkle, mixing, ngram, packing, secrets_scan, sharding, simhash, toxicity
 from .frames import table
 
 
@@ -55,6 +55,10 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
     docs = table(spark, sf_dir, "documents")
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_secrets": op9_secrets,
     "op10_licences": op10_licences,
+    "op11_mixing": op11_mixing,
     "op13_merkle": op13_merkle,
 }
 
