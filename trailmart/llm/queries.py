@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, itq, licences, merkle, mixing, ngram, packing, secrets_scan, sharding, simhash, toxicity
+from . import bpe, exact, itq, licences, merkle, mixing, ngram, packing, phrases, secrets_scan, sharding, simhash, toxicity
 from .frames import table
 
 
@@ -59,6 +59,10 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
     docs = table(spark, sf_dir, "documents")
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_licences": op10_licences,
     "op11_mixing": op11_mixing,
+    "op12_phrases": op12_phrases,
     "op13_merkle": op13_merkle,
 }
 
@@ -89,4 +94,38 @@ ORACLES: dict[str, str] = {
                doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)
     """,
+    "op12_phrases": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), words AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+        ), grams AS (
+            SELECT lang, len(g) AS k, array_to_string(g, ' ') AS phrase, count(*) AS n
+            FROM (SELECT lang, unnest(flatten(list_transform(range(1, 6), lambda k: list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])))) AS g FROM words)
+            GROUP BY ALL
+        ), totals AS (SELECT lang, sum(n)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
+        many AS (SELECT * FROM grams WHERE n >= 100),
+        cuts AS (
+            SELECT m.lang, m.k, m.phrase, m.n AS a, c,
+                   array_to_string(string_split(m.phrase, ' ')[:c], ' ') AS head, array_to_string(string_split(m.phrase, ' ')[c + 1:], ' ') AS tail
+            FROM many m, range(1, 5) r(c) WHERE c < m.k
+        ), scores AS (
+            SELECT x.*, h.n AS l, t.n AS r, totals.n AS n, (1000::HUGEINT * a * totals.n // (h.n::HUGEINT * t.n))::BIGINT AS score
+            FROM cuts x JOIN many h ON h.lang = x.lang AND h.phrase = head JOIN many t ON t.lang = x.lang AND t.phrase = tail
+            JOIN totals ON totals.lang = x.lang
+        ), worst AS (
+            SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+        ), inside AS (
+            SELECT lang, unnest(flatten(list_transform(range(2, k), lambda m: list_transform(range(1, k - m + 2),
+                   lambda i: array_to_string(string_split(phrase, ' ')[i:i + m - 1], ' '))))) AS phrase, n
+            FROM many WHERE k > 2
+        ), longer AS (SELECT lang, phrase, max(n) AS n FROM inside GROUP BY ALL)
+        SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank, w.phrase, a, l, r, w.n, score
+        FROM worst w LEFT JOIN longer g ON g.lang = w.lang AND g.phrase = w.phrase
+        WHERE g.n IS NULL OR 100 * g.n < 100 * a
+        QUALIFY rank <= 2000
+    """,
 }
