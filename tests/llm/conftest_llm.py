@@ -13,5 +13,5 @@ def build(spark, rows):
         [(*r, "en", "s", len(r[1] or "")) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars int"
     )
     return df.selectExpr(
-        "*", "'x' as kept", "1 as size", "2 as code", "3 as `key`", "4 as node", "'y' as spans", "5 as found", "6 as ids", "0.5 as score", "'z' as shard"
+        "*", "'x' as kept", "1 as size", "2 as code", "3 as `key`", "4 as node", "'y' as spans", "5 as found", "6 as ids", "0.5 as score", "'z' as shard", "1 as _scanned", "'u' as _scored", "2 as _masked", "3 as _gone", "4 as _text", "5 as _w1", "6 as _s", "7 as _k", "8 as _key", "9 as _size"
     )

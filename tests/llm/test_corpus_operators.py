@@ -246,8 +246,8 @@ def test_embeddings_tables_with_a_common_direction(norm, n):
     assert found.mean() >= 0.92
 
 
-def test_embeddings_query_equals_brute_force(spark):
-    folder = "/root/testdata/check_s"
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_embeddings_query_equals_brute_force(spark, folder):
     rows = {r.vec_id: r for r in queries.op4_embeddings(spark, folder).collect()}
     got = spark.read.parquet(f"{folder}/embeddings.parquet").toPandas()
     ids, x = got.vec_id.to_numpy(), np.array(got.embedding.tolist(), float)

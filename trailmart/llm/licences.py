@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .flat import boundaries, byte_table, flat, ragged, slices
-from .frames import ship
+from .frames import fresh, ship
 
 # Phrases and their labels.
 BASE_PHRASES = {
@@ -217,15 +217,16 @@ def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None) ->
     ship(docs.sparkSession)
     added = {x.lower() for x in FIELDS.names}
     carried = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
-    rows = docs.select(*carried, F.col(text).cast("string").alias("_scanned"))
+    read = fresh(docs, "_scanned")
+    rows = docs.select(*carried, F.col(text).cast("string").alias(read))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carried).schema)
     schema += ", n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double, permission double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton()
         for batch in batches:
-            for part in slices(batch, "_scanned"):
-                made = scan_texts(part.column("_scanned"), machine)
+            for part in slices(batch, read):
+                made = scan_texts(part.column(read), machine)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names=[*carried, *FIELDS.names])
 
     return rows.mapInArrow(run, schema)

@@ -131,7 +131,8 @@ class Source:
             return 0, 0
         turns, rest = divmod(words, self.size)
         if not rest:
-            return turns * self.blocks, self.block
+            slots = turns * self.blocks
+            return slots, int(self.length(self.taken(np.array([slots - 1])))[0])
         # The rest of a pass: full blocks, but for the source's short one if it comes that early.
         at = int(self.order(turns)(np.array([self.blocks - 1]), back=True)[0])
         short = self.block - int(self.length(np.array(self.blocks - 1)))

@@ -128,4 +128,46 @@ ORACLES: dict[str, str] = {
         WHERE g.n IS NULL OR 100 * g.n < 100 * a
         QUALIFY rank <= 2000
     """,
+    "op13_merkle": r"""
+        WITH RECURSIVE fields AS (
+            SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+                   coalesce(strlen(text) || ':' || text, '-') AS tail,
+                   xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)), lambda c, b:
+                       list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) AS crc
+            FROM documents
+        ), leaves AS (
+            SELECT doc_id, lang, sha256(head || coalesce(length(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+                   CASE WHEN crc % 7 = 0 THEN sha256(head || coalesce(length((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) END AS found
+            FROM fields
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS size FROM leaves
+        ), nodes AS (
+            SELECT 0 AS level, lang, pos, size, leaf AS h FROM placed
+            UNION ALL
+            SELECT level + 1, lang, pos // 2, (size + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM nodes WHERE size > 1 GROUP BY level, lang, pos // 2, size
+        ), roots AS (
+            SELECT lang, h, level AS depth, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS size FROM nodes WHERE size = 1
+        ), upper AS (
+            SELECT 0 AS level, pos, size, h FROM roots
+            UNION ALL
+            SELECT level + 1, pos // 2, (size + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM upper WHERE size > 1 GROUP BY level, pos // 2, size
+        ), docs AS (
+            SELECT p.*, r.h AS subroot, r.depth, r.pos AS place, u.h AS root, u.level AS height, row_number() OVER () AS row
+            FROM placed p JOIN roots r ON r.lang IS NOT DISTINCT FROM p.lang, upper u WHERE u.size = 1
+        ), steps AS (
+            SELECT row, d.depth + d.height AS steps, n.level AS step, n.pos % 2 = 0 AS first, n.h
+            FROM docs d JOIN nodes n ON n.lang IS NOT DISTINCT FROM d.lang AND n.level < d.depth AND n.pos = xor(d.pos >> n.level, 1)
+            UNION ALL
+            SELECT row, d.depth + d.height, d.depth + u.level, u.pos % 2 = 0, u.h
+            FROM docs d JOIN upper u ON u.level < d.height AND u.pos = xor(d.place >> u.level, 1)
+        ), folds AS (
+            SELECT row, 0 AS step, depth + height AS steps, coalesce(found, leaf) AS h FROM docs
+            UNION ALL
+            SELECT f.row, f.step + 1, f.steps, sha256(CASE WHEN s.first THEN s.h || f.h ELSE f.h || coalesce(s.h, '') END)
+            FROM folds f LEFT JOIN steps s ON s.row = f.row AND s.step = f.step WHERE f.step < f.steps
+        ), proofs AS (SELECT row, sha256(string_agg(h, '' ORDER BY step)) AS proof FROM steps GROUP BY row)
+        SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = root AS verified
+        FROM docs d JOIN folds f ON f.row = d.row AND f.step = f.steps LEFT JOIN proofs p ON p.row = d.row
+    """,
 }

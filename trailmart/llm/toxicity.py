@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .flat import LETTERS, boundaries, flat, hashes, slices
-from .frames import ship
+from .frames import fresh, ship
 
 SAMPLE = 8_000
 WORDS_PER_CATEGORY = 100
@@ -208,12 +208,13 @@ def score(docs: DataFrame, vocabulary: np.ndarray, links: list[np.ndarray], cate
     names = [f"p_{c}" for c in categories] + ["rejected"]
     taken = {n.lower() for n in names}
     carried = [c for c in (docs.columns if keep is None else keep) if c.lower() not in taken]
-    rows = docs.select(*carried, F.col(text).cast("string").alias("_scored"))
+    read = fresh(docs, "_scored")
+    rows = docs.select(*carried, F.col(text).cast("string").alias(read))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_scored"):
-                h, owner = words(part.column("_scored"))
+            for part in slices(batch, read):
+                h, owner = words(part.column(read))
                 p = chances(features(h, owner, len(part), vocabulary), links)
                 some = np.bincount(owner, minlength=len(part)) > 0
                 made = [pa.array(p[:, i]) for i in range(p.shape[1])] + [pa.array((p[:, -1] >= REJECT) & some)]
