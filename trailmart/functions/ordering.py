@@ -167,6 +167,34 @@ def carry_forward_by_id(df: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
+def carry_forward(df: DataFrame, key: str, order: list[str], values: list[str]) -> DataFrame:
+    """Fill null ``values`` with the key's last value before, by ``order``; each column by itself.
+
+    One range sort over key and order deals the rows evenly, so a key with most of the rows is cut by time over many
+    tasks. A row looks back inside its own sort partition; a key that began in an earlier partition gets the last value
+    from there (one row per partition). Rows of a null key get nothing.
+    """
+    by = [F.asc_nulls_first(c) for c in (key, *order)]
+    rows = materialise(df.sort(*by).select("*", F.spark_partition_id().alias("_part")))
+    so_far = Window.partitionBy("_part", key).orderBy(*by[1:]).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # The last value of a sort partition is the one at its largest (key, order): it can only matter to that key.
+    place = [F.struct(F.col(key).alias("key"), *order, F.col(v).alias("value")) for v in values]
+    lasts = rows.groupBy("_part").agg(
+        *[F.max(F.when(F.col(v).isNotNull(), p)).alias(f"_last{i}") for i, (v, p) in enumerate(zip(values, place))]
+    )
+    lasts = lasts.select("_part", *[F.last(f"_last{i}", ignorenulls=True).over(earlier).alias(f"_prior{i}") for i in range(len(values))])
+    own = [F.last(v, ignorenulls=True).over(so_far).alias(f"_own{i}") for i, v in enumerate(values)]
+    rows = rows.select("*", *own).join(F.broadcast(lasts), "_part")
+    known = F.col(key).isNotNull()
+    return rows.withColumns(
+        {
+            v: F.when(known, F.coalesce(f"_own{i}", F.when(F.col(f"_prior{i}.key") == F.col(key), F.col(f"_prior{i}.value"))))
+            for i, v in enumerate(values)
+        }
+    ).select(*df.columns)
+
+
 def edges_between(low: Column, high: Column, bins: int) -> Column:
     """``bins + 1`` evenly spaced edges, the last one exactly ``high``."""
     step = (high - low) / F.lit(float(bins))

@@ -209,7 +209,11 @@ def forecast_features(ev: DataFrame, props: DataFrame, params: Params = DEFAULTS
     day = day.join(summary, ["categoryid", "date"], "left")
 
     day = sales_lags(rolling_sums(day, params.windows), params.lags)
-    day = ratios(price_change(target_at(day, params.horizon_days)))
+    return _finished(ratios(price_change(target_at(day, params.horizon_days))), params)
+
+
+def _finished(day: DataFrame, params: Params) -> DataFrame:
+    """Smoothed columns, calendar and column order of rows with their category figures."""
     zero = F.lit(0.0)
     day = day.withColumns(
         {
@@ -226,6 +230,19 @@ def forecast_features(ev: DataFrame, props: DataFrame, params: Params = DEFAULTS
     return one_hot_dow(calendar(day)).select(*feature_columns(params))
 
 
+def features_from_stored(counts: DataFrame, items: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """The feature table from ``daily_item_counts`` and ``priced_items`` that are stored by item (``sources.layout``).
+
+    The join with the items and all windows read the rows where they lie; only the (category, date) figures are
+    shuffled. They are joined last: by broadcast where they are small enough, and no row goes by item again.
+    """
+    day = with_day(counts).join(items, "itemid", "left")
+    summary = category_day_summary(ratios(rolling_sums(day, (7,))), ("ctr_7d", "buyrate_7d", "sales_sum_7d"))
+    wide = sales_lags(rolling_sums(day, params.windows), params.lags)
+    wide = ratios(price_change(target_at(wide, params.horizon_days)))
+    return _finished(wide.join(summary, ["categoryid", "date"], "left"), params)
+
+
 def feature_columns(params: Params = DEFAULTS) -> list[str]:
     """Column order of the feature table; counts of further events come after the date."""
     windowed = ("views", "adds", "sales")

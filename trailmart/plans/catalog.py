@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import epoch_ms, first_number
 from ..operators import cleaning as C
+from ..operators import daily
 from ..operators import evaluation as V
 from ..operators import exploration as E
 from ..operators import forecasting as M
+from ..operators import history as H
 from ..operators import item_day as D
 from ..operators import mart as B
 from ..operators import recommending as R
 from ..operators import sequences as Q
 from ..params import Params
 from ..session import scratch_path, use_utc
-from ..sources import tables
+from ..sources import layout, tables
 from ..sources.adapter import StarTables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -280,6 +282,54 @@ def _(t):
     return D.forecast_features(t.events(), t.properties())
 
 
+@query("price_asof")
+def _(t):
+    return H.attributes_asof(t.order_days(), t.price_history(), {"price": "price"})
+
+
+@query("price_change_asof")
+def _(t):
+    return _keyed(H.price_change_asof(t.order_days(), t.price_history()), "price", "price_pct_chg_7d")
+
+
+@query("forecast_features_stored")
+def _(t):
+    """F18 from tables that are stored by item."""
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = {}
+    tables_by_name = {"counts": D.daily_item_counts(t.events()), "items": D.priced_items(t.events(), t.properties())}
+    for name, df in tables_by_name.items():
+        path = scratch_path(t.spark, name)
+        order = [c for c in df.columns if c == "date"]
+        table = layout.write_bucketed(df, path.rsplit("/", 1)[1].replace("-", "_"), "itemid", order, buckets, path)
+        stored[name] = layout.read_bucketed(t.spark, table)
+    return D.features_from_stored(stored["counts"], stored["items"])
+
+
+@query("features_new_day")
+def _(t):
+    """The last day's features from the state of two days before, advanced day by day."""
+    ev = t.events()
+    last = ev.agg(F.max(F.to_date("timestamp"))).first()[0]
+    age = F.datediff(F.lit(last), F.to_date("timestamp"))
+    path = scratch_path(t.spark, "state")
+    late = (F.col("property") == "price") & (F.col("itemid") % 3 == 0)
+    state = daily.initial(ev.where(age > 1), t.properties().where(~late)).save(f"{path}/0")
+    _, state, _ = daily.advance(state, ev.where(age == 1), t.properties().where(late))
+    rows, _, _ = daily.advance(state.save(f"{path}/1"), ev.where(age == 0), t.properties().limit(0))
+    return rows
+
+
+@query("targets_due")
+def _(t):
+    """Targets that the last day settles."""
+    ev = t.events()
+    last = ev.agg(F.max(F.to_date("timestamp"))).first()[0]
+    age = F.datediff(F.lit(last), F.to_date("timestamp"))
+    state = daily.initial(ev.where(age > 0), t.properties()).save(scratch_path(t.spark, "state"))
+    return daily.advance(state, ev.where(age == 0), t.properties())[2]
+
+
 # sequences ------------------------------------------------------------------
 
 

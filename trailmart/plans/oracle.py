@@ -374,6 +374,40 @@ _oracle(
     "features",
 )
 
+_feature_list = f"""SELECT itemid, {_D} AS date, categoryid, {_cols([(c, _r(c)) for c in _real])},
+        {", ".join(n for n, _ in _sums + _lags)}, {_cols(_calendar)}, target_next7 FROM features"""
+_oracle("forecast_features_stored", _feature_list, "features")
+_oracle("features_new_day", f"{_feature_list} WHERE date = (SELECT max(date) FROM features)", "features")
+_oracle(
+    "targets_due",
+    f"""SELECT a.itemid, {_day('a.date')} AS date, CAST(b.sales AS DOUBLE) AS target FROM counts a JOIN counts b
+        ON b.itemid = a.itemid AND b.date = a.date + 7 WHERE b.date = (SELECT max(date) FROM counts)""",
+    "counts",
+)
+_view(
+    "price_days",
+    """SELECT l_partkey AS itemid, CAST(l_shipdate AS DATE) AS day, floor(l_extendedprice * (1 - l_discount) / l_quantity * 100) / 100 AS price
+       FROM lineitem QUALIFY row_number() OVER (PARTITION BY itemid, day ORDER BY l_shipdate DESC, price DESC) = 1""",
+)
+_view(
+    "order_days",
+    """SELECT l_partkey AS itemid, CAST(o_orderdate AS DATE) AS date, count(*) AS lines, sum(l_quantity) AS units
+       FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2""",
+)
+_view(
+    "asof_days",
+    """SELECT d.*, p.price FROM order_days d ASOF LEFT JOIN price_days p ON p.itemid = d.itemid AND p.day <= d.date""",
+    "price_days",
+    "order_days",
+)
+_oracle("price_asof", f"SELECT itemid, {_D} AS date, lines, {_r('units')} AS units, {_r('price')} AS price FROM asof_days", "asof_days")
+_oracle(
+    "price_change_asof",
+    f"""SELECT itemid, {_D} AS date, {_r('price')} AS price, {_r('(price - before) / nullif(before, 0)')} AS price_pct_chg_7d
+        FROM (SELECT *, lag(price, 7) {_W} AS before FROM asof_days)""",
+    "asof_days",
+)
+
 # sequences ------------------------------------------------------------------
 
 _oracle("item_index", "SELECT itemid, item_idx FROM item_idx", "item_idx")

@@ -117,5 +117,22 @@ class StarTables:
             .select("itemid", "date", "categoryid", "sales", "forecast")
         )
 
+    def price_history(self) -> DataFrame:
+        """Unit prices after discount in whole cents, at the time of shipping: a property that changes."""
+        price = F.floor(F.col("l_extendedprice") * (1 - F.col("l_discount")) / F.col("l_quantity") * 100) / 100
+        return self.table("lineitem").select(
+            F.col("l_shipdate").cast("timestamp").alias("timestamp"),
+            F.col("l_partkey").alias("itemid"),
+            F.lit("price").alias("property"),
+            price.alias("value"),
+        )
+
+    def order_days(self) -> DataFrame:
+        """Item-days of the order dates: lines and units ordered."""
+        lines = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        return lines.groupBy(F.col("l_partkey").alias("itemid"), F.to_date("o_orderdate").alias("date")).agg(
+            F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("units")
+        )
+
     def sequences(self) -> DataFrame:
         return reco_sequences(self.events(), self.properties(), self.categories())
