@@ -32,9 +32,10 @@ class RecoCandidate:
     recency: float = 0.5
 
 
-def hash_share(col: str) -> Column:
+def hash_share(col: str | Column) -> Column:
     """A fixed number from 0 to 99 for each id."""
-    digest = F.substring(F.md5(F.col(col).cast("string")), 1, 8)
+    text = F.col(col) if isinstance(col, str) else col
+    digest = F.substring(F.md5(text.cast("string")), 1, 8)
     return F.pmod(F.conv(digest, 16, 10).cast("bigint"), F.lit(100))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import epoch_ms, first_number
 from ..operators import cleaning as C
+from ..operators import boosting as X
 from ..operators import daily
 from ..operators import evaluation as V
 from ..operators import exploration as E
@@ -19,6 +21,7 @@ from ..operators import history as H
 from ..operators import item_day as D
 from ..operators import mart as B
 from ..operators import recommending as R
+from ..operators import search as S
 from ..operators import sequences as Q
 from ..params import Params
 from ..session import scratch_path, use_utc
@@ -626,6 +629,75 @@ def _(t):
     return _rows(t.spark, [*results, in_sample])
 
 
+_BOOSTED = {"poisson": X.Boosting(), "tweedie": X.Boosting(power=1.5)}
+
+
+@query("train_boosted")
+def _(t):
+    train, valid = M.temporal_split(_written_rows(t))
+    return _report(X.train_boosted(train, valid).predict(valid))
+
+
+@query("boosting_curve")
+def _(t):
+    """Loss of both objectives after each round."""
+    train, valid = M.temporal_split(_written_rows(t))
+    curves = [
+        X.curve_table(t.spark, X.train_boosted(train, valid, s)).select(F.lit(name).alias("objective"), "*") for name, s in _BOOSTED.items()
+    ]
+    return reduce(DataFrame.unionByName, curves)
+
+
+@query("boosting_start")
+def _(t):
+    """The loss before the first tree."""
+    train, valid = M.temporal_split(_written_rows(t))
+    rows = []
+    for name, s in _BOOSTED.items():
+        model = X.train_boosted(train, valid, replace(s, rounds=0))
+        rows.append({"objective": name, "train_loss": model.curve[0][1], "valid_loss": model.curve[0][2], "start": model.start})
+    return _rows(t.spark, rows)
+
+
+@query("boosting_balance")
+def _(t):
+    """One whole step: every leaf's forecasts add up to its rows' weighted targets."""
+    train, _ = M.temporal_split(_written_rows(t))
+    model = X.train_boosted(train, None, X.Boosting(rounds=1, step=1.0, depth=3))
+    path = model.save(scratch_path(t.spark, "boosted"))
+    pred = X.BoostedModel.load(t.spark, path).predict(train).join(
+        M.sample_weight(train).select("itemid", "date", "sample_weight"), ["itemid", "date"]
+    )
+    w = F.col("sample_weight")
+    return pred.agg(F.sum(w * F.col("target_next7")).alias("target"), F.sum(w * F.col("forecast")).alias("forecast"), F.count("*").alias("rows"))
+
+
+@query("boosting_checks")
+def _(t):
+    """Every round lowers the training loss, training stops in time, and the kept rounds are the best on held-out rows."""
+    train, valid = M.temporal_split(_written_rows(t))
+    rows = []
+    for name, s in _BOOSTED.items():
+        model = X.train_boosted(train, valid, s)
+        losses, held = [c[1] for c in model.curve], [c[2] for c in model.curve]
+        best = min(range(len(held)), key=held.__getitem__)
+        rows.append({
+            "objective": name,
+            "falls": all(a > b for a, b in zip(losses, losses[1:])),
+            "kept_best": len(model.trees) == best,
+            "stopped": len(held) - 1 in (s.rounds, best + s.patience),
+            "not_worse_than_mean": held[best] <= held[0],
+        })
+    return _rows(t.spark, rows)
+
+
+@query("tune_forecast_rungs")
+def _(t):
+    options = [X.Boosting(power=p, depth=d, rounds=10, patience=3) for p in (1.0, 1.5) for d in (2, 4)]
+    scores, _ = S.search_forecast(_written_rows(t), options)
+    return S.rung_table(t.spark, scores)
+
+
 @query("written_features")
 def _(t):
     path = tables.write_table(_features(t), scratch_path(t.spark, "forecast_features"))
@@ -869,6 +941,19 @@ def _(t):
     return _tuned(t)
 
 
+#: Windows, decays and histories that the rungs narrow down.
+RUNG_OPTIONS = [
+    R.RecoCandidate(window=w, decay=d, history=h, recency=r)
+    for w, d, h, r in [(1, 0.5, 50, 0.5), (3, 0.5, 50, 0.8), (5, 0.8, 20, 0.5), (2, 0.7, 50, 0.9), (4, 0.6, 30, 0.7), (1, 0.5, 10, 0.3)]
+]
+
+
+@query("tune_reco_rungs")
+def _(t):
+    scores, _ = S.search_reco(tables.read_table(t.spark, tables.write_table(t.sequences(), scratch_path(t.spark, "sequences"))), RUNG_OPTIONS)
+    return S.rung_table(t.spark, scores)
+
+
 @query("training_curve")
 def _(t):
     return R.training_curve(_tuned(t))

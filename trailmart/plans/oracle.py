@@ -713,6 +713,40 @@ _oracle(
         CAST(1 AS DOUBLE) AS met FROM train_rows""",
     "train_rows",
 )
+_view("valid_rows", "SELECT * FROM model_rows WHERE date >= (SELECT max(date) FROM model_rows) - 7", "model_rows")
+_view(
+    "weighed",
+    """SELECT *, greatest(sales_sum_7d, 0.1) AS w, FALSE AS held FROM train_rows
+       UNION ALL SELECT *, greatest(sales_sum_7d, 0.1), TRUE FROM valid_rows""",
+    "train_rows",
+    "valid_rows",
+)
+_view("first_score", "SELECT ln(sum(w * target_next7) / sum(w)) AS f FROM weighed WHERE NOT held", "weighed")
+_losses = {
+    "poisson": "exp(f) - target_next7 * f",
+    "tweedie": "exp(0.5 * f) / 0.5 - target_next7 * exp(-0.5 * f) / -0.5",
+}
+_oracle(
+    "boosting_start",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS objective, {_r(f'sum(w * ({loss})) FILTER (NOT held) / sum(w) FILTER (NOT held)')} AS train_loss,
+            {_r(f'sum(w * ({loss})) FILTER (held) / sum(w) FILTER (held)')} AS valid_loss, {_r('max(f)')} AS start FROM weighed, first_score"""
+        for name, loss in _losses.items()
+    ),
+    "weighed",
+    "first_score",
+)
+_oracle(
+    "boosting_balance",
+    f"SELECT {_r('sum(w * target_next7)')} AS target, {_r('sum(w * target_next7)')} AS forecast, count(*) AS rows FROM weighed WHERE NOT held",
+    "weighed",
+)
+_oracle(
+    "boosting_checks",
+    """SELECT objective, TRUE AS falls, TRUE AS kept_best, TRUE AS stopped, TRUE AS not_worse_than_mean
+       FROM (SELECT unnest(['poisson', 'tweedie']) AS objective), (SELECT count(*) FROM model_rows)""",
+    "model_rows",
+)
 _oracle(
     "prediction_checks",
     """SELECT kind, n, n AS good, n AS equal FROM (SELECT unnest(['poisson', 'trees', 'tweedie']) AS kind),
@@ -995,6 +1029,28 @@ _oracle(
            OR candidate = (SELECT candidate FROM trials WHERE scored_on = 'holdout' ORDER BY ndcg DESC, candidate LIMIT 1)""",
     "trials",
 )
+# Successive halving: window, decay, history, recency of each candidate; the share of visitors and who goes on by rung.
+_options = [(1, 0.5, 50, 0.5), (3, 0.5, 50, 0.8), (5, 0.8, 20, 0.5), (2, 0.7, 50, 0.9), (4, 0.6, 30, 0.7), (1, 0.5, 10, 0.3)]
+for _rung, (_part, _go_on) in enumerate([(25, 3), (50, 2), (100, 1)]):
+    _seen = f"CAST('0x' || substr(md5('rung' || CAST(visitorid AS VARCHAR)), 1, 8) AS BIGINT) % 100 < {_part}"
+    for _i, (_window, _decay, _history, _recency) in enumerate(_options):
+        _who, _asked = f"({_share(80)}) AND {_seen}", f"NOT ({_share(80)}) AND {_seen}"
+        _scores(f"rung{_rung}_{_i}", _ranked(f"rung{_rung}_{_i}_of", _window, _decay, _history, _recency, _who, _asked), _asked)
+    _left = "" if _rung == 0 else f"WHERE candidate IN (SELECT candidate FROM rung{_rung - 1} WHERE promoted)"
+    _views = [f"rung{_rung}_{i}" for i in range(len(_options))]
+    _view(
+        f"rung{_rung}",
+        f"""SELECT CAST({_rung} AS BIGINT) AS rung, CAST({_part} AS BIGINT) AS share, candidate, ndcg,
+            row_number() OVER (ORDER BY round(ndcg, 9) DESC NULLS LAST, candidate) <= {_go_on} AS promoted
+            FROM ({' UNION ALL '.join(f'SELECT CAST({i} AS BIGINT) AS candidate, ndcg FROM {v}' for i, v in enumerate(_views))}) {_left}""",
+        *_views,
+        *([f"rung{_rung - 1}"] if _rung else []),
+    )
+_oracle(
+    "tune_reco_rungs",
+    " UNION ALL ".join(f"SELECT rung, share, candidate, {_r('ndcg')} AS score, promoted FROM rung{i}" for i in range(3)),
+    *[f"rung{i}" for i in range(3)],
+)
 _oracle(
     "training_curve",
     f"""SELECT CAST(candidate AS BIGINT) AS iteration, {_SCORES},

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import cleaning, evaluation, forecasting, recommending
+from ..operators import boosting, cleaning, evaluation, forecasting, recommending, search
 from ..operators.item_day import daily_item_counts, forecast_features, item_attribute
 from ..operators.mart import build_mart
 from ..operators.sequences import item_index, reco_sequences
@@ -61,6 +61,41 @@ def train_forecast(
     return forecasting.quality_gate(tables.metrics_table(report), {"wmape": params.max_wmape}, {})
 
 
+def train_boosted(
+    spark: SparkSession, processed: str, model_path: str, settings: boosting.Boosting = boosting.Boosting(), params: Params = DEFAULTS
+) -> DataFrame:
+    """Fit boosted trees on all but the last days, save them and their losses by round, report on the last days."""
+    f = forecasting.nonzero_target(tables.read_table(spark, f"{processed}/forecast_features"))
+    train, valid = forecasting.temporal_split(f, params.validation_days)
+    model = boosting.train_boosted(train, valid, settings)
+    model.save(model_path)
+    tables.write_table(boosting.curve_table(spark, model), f"{model_path}-curve")
+    report = boosting.BoostedModel.load(spark, model_path).predict(valid).agg(
+        F.avg(F.abs(F.col(forecasting.TARGET) - F.col("forecast"))).alias("mae"),
+        evaluation.wmape_of(forecasting.TARGET, "forecast").alias("wmape"),
+    )
+    return forecasting.quality_gate(tables.metrics_table(report), {"wmape": params.max_wmape}, {})
+
+
+def tune_forecast(spark: SparkSession, processed: str, model_path: str, candidates: list[boosting.Boosting], floor: float = DEFAULTS.weight_floor_tuned) -> DataFrame:
+    """Search by successive halving, fit the winner on all rows and save it; the scores of all rungs."""
+    f = forecasting.nonzero_target(tables.read_table(spark, f"{processed}/forecast_features"))
+    scores, best = search.search_forecast(f, candidates, floor=floor)
+    search.refit_forecast(f, candidates[best], floor).save(model_path)
+    tables.write_table(search.rung_table(spark, scores), f"{model_path}-rungs")
+    return tables.read_table(spark, f"{model_path}-rungs")
+
+
+def tune_recommender(spark: SparkSession, processed: str, model_path: str, candidates: list[recommending.RecoCandidate]) -> DataFrame:
+    """Search by successive halving, write the winner's transitions over all visitors; the scores of all rungs."""
+    sequences = tables.read_table(spark, f"{processed}/reco_sequences")
+    scores, best = search.search_reco(sequences, candidates)
+    c = candidates[best]
+    tables.write_table(recommending.transitions(sequences, c.window, c.decay, c.history), model_path)
+    tables.write_table(search.rung_table(spark, scores), f"{model_path}-rungs")
+    return tables.read_table(spark, f"{model_path}-rungs")
+
+
 def mart(spark: SparkSession, interim: str, processed: str, out: str, model_path: str | None = None) -> DataFrame:
     """Write the sales mart with forecasts of the saved model, or of the moving average; returns its diagnostics."""
     events = tables.read_table(spark, f"{interim}/events_clean")
