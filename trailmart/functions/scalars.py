@@ -18,9 +18,15 @@ def first_number(col: Column | str) -> Column:
 
 
 def safe_long(col: Column | str, default: int | None = None) -> Column:
-    """Whole number from text or any number type; unparsable is null or ``default``."""
-    c = _col(col)
-    value = F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+    """Whole number from text or any number type; what is not whole or unparsable is null or ``default``.
+
+    ``257597.0`` is 257597. ``257597.5`` and ``1e3`` are no ids: cut or read as numbers they would be other items. Large
+    numbers as a double column spells them (``1.5E12``) are read if they are whole.
+    """
+    text = F.trim(_col(col).cast("string"))
+    plain = F.nullif(F.regexp_extract(text, r"^([+-]?\d+)(?:\.0*)?$", 1), F.lit("")).try_cast("bigint")
+    number = F.when(text.rlike(r"^-?\d\.\d+E\d+$"), text).try_cast("double")
+    value = F.coalesce(plain, F.when(number == F.floor(number), number.try_cast("bigint")))
     return value if default is None else F.coalesce(value, F.lit(default).cast("bigint"))
 
 

@@ -50,6 +50,44 @@ def layout_by_time(df: DataFrame, col: str = "timestamp") -> DataFrame:
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
+# filters of cleaned events ---------------------------------------------------
+
+
+def bot_filter(ev: DataFrame, most: int) -> DataFrame:
+    """Events but those of visitor-days with more than ``most`` of them; rows without visitor or time stay.
+
+    The counts fold in each task, so a bot is one row per task and day there. The days to drop are the small side of
+    the join: each of them stands for more than ``most`` events.
+    """
+    day = F.to_date("timestamp")
+    per_day = ev.where(F.col("visitorid").isNotNull() & F.col("timestamp").isNotNull()).groupBy("visitorid", day.alias("_day"))
+    busy = per_day.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select("visitorid", "_day")
+    return ev.withColumn("_day", day).join(busy, ["visitorid", "_day"], "left_anti").select(*ev.columns)
+
+
+def min_interactions(ev: DataFrame, least: int) -> DataFrame:
+    """Events of visitors with at least ``least`` events."""
+    enough = ev.groupBy("visitorid").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least)
+    return ev.join(enough.select("visitorid"), "visitorid", "left_semi").select(*ev.columns)
+
+
+def drop_missing_category(ev: DataFrame, props: DataFrame) -> DataFrame:
+    """Events of items that have a category."""
+    known = props.where((F.col("property") == "categoryid") & F.col("value").isNotNull()).select("itemid").distinct()
+    return ev.join(known, "itemid", "left_semi").select(*ev.columns)
+
+
+def filtered(ev: DataFrame, props: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """The optional filters that ``params`` asks for, bots first; none by default."""
+    if params.max_events_per_day is not None:
+        ev = bot_filter(ev, params.max_events_per_day)
+    if params.drop_missing_category:
+        ev = drop_missing_category(ev, props)
+    if params.min_interactions is not None:
+        ev = min_interactions(ev, params.min_interactions)
+    return ev
+
+
 # events ---------------------------------------------------------------------
 
 

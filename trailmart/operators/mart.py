@@ -5,11 +5,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.histograms import fixed_hist, frequency_hist
 from ..functions.scalars import ratio, rounded
+from .evaluation import normal_quantile
 from .forecasting import attach_forecast
 from .recommending import by_item_id, cooccurrence, reco_confidence
 
@@ -319,20 +320,28 @@ def category_daily(mart: DataFrame) -> DataFrame:
     )
 
 
+def deviate(key: Column, step: Column, seed: int) -> Column:
+    """A standard normal number for each (key, step, seed): 52 bits of a digest through the inverse normal."""
+    digest = F.md5(F.concat_ws("/", key.cast("string"), step.cast("string"), F.lit(str(seed))))
+    bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
+    return normal_quantile((bits + 0.5) / float(1 << 52))
+
+
 def project(
     rows: DataFrame,
     by: str,
     horizon: int = 7,
     amplitude: float = 0.15,
     noise: float = 0.0,
-    seed: int | None = None,
+    seed: int = 0,
     last: int = 14,
 ) -> DataFrame:
     """Projection of each key's recent mean with a weekly wave and its mean step.
 
     ``rows`` has one row per key and date. Items use amplitude 0.15, categories
     0.2. A key with one row has no step and projects to null. ``noise`` is the
-    share of the mean used as standard deviation.
+    share of the mean used as standard deviation: a normal deviate that key, step
+    and seed decide, the same however the table is partitioned.
     """
     latest = Window.partitionBy(by).orderBy(F.desc("date"))
     recent = rows.withColumn("_rn", F.row_number().over(latest)).where(F.col("_rn") <= last)
@@ -346,7 +355,7 @@ def project(
     drift = F.when(F.col("m") > 0, 1 + F.col("t") / F.nullif("m", F.lit(0.0)) * h * 0.1).otherwise(F.lit(1.0))
     value = F.col("m") * wave * drift
     if noise:
-        value = value + F.randn(seed) * F.col("m") * noise
+        value = value + deviate(F.col(by), h, seed) * F.col("m") * noise
     steps = base.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     return steps.select(
         by,

@@ -23,6 +23,16 @@ def item_index(ev: DataFrame) -> DataFrame:
 item_dim = item_index
 
 
+def extend_index(stored: DataFrame, ev: DataFrame) -> DataFrame:
+    """A stored item index with the items it lacks: old numbers stay, new items follow in order of first appearance.
+
+    Sequences made with an older state of the index still join. ``stored`` is the written table.
+    """
+    new = item_index(ev.join(stored.select("itemid"), "itemid", "left_anti"))
+    last = stored.select(F.coalesce(F.max("item_idx"), F.lit(0))).scalar()
+    return stored.select("itemid", "item_idx").unionByName(new.withColumn("item_idx", F.col("item_idx") + last))
+
+
 def category_index(cats: DataFrame) -> DataFrame:
     """1-based index of categories in id order."""
     ids = cats.select("categoryid").where(F.col("categoryid").isNotNull()).distinct()

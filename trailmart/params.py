@@ -12,6 +12,10 @@ class Params:
     event_columns: dict[str, str] = field(
         default_factory=lambda: {"view": "views", "addtocart": "adds", "transaction": "sales"}
     )
+    # Optional filters of cleaned events: off unless set.
+    max_events_per_day: int | None = None
+    min_interactions: int | None = None
+    drop_missing_category: bool = False
     # Item-day windows, lags and smoothing strengths.
     windows: tuple[int, ...] = (3, 7, 14, 30, 60)
     lags: tuple[int, ...] = (1, 7, 14)

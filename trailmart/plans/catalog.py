@@ -23,10 +23,13 @@ from ..operators import mart as B
 from ..operators import recommending as R
 from ..operators import search as S
 from ..operators import sequences as Q
+from ..operators import sketches as K
+from ..operators.heavy import heavy_hitters
 from ..params import Params
 from ..session import scratch_path, use_utc
 from ..sources import layout, tables
 from ..sources.adapter import StarTables
+from ..streaming import events as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -184,6 +187,47 @@ def _(t):
     return t.properties()
 
 
+@query("bot_filter")
+def _(t):
+    return C.bot_filter(t.events(), 3)
+
+
+@query("min_interactions")
+def _(t):
+    return C.min_interactions(t.events(), 40)
+
+
+@query("drop_missing_category")
+def _(t):
+    return C.drop_missing_category(t.events(), t.properties().where("itemid % 5 > 0"))
+
+
+@query("stream_clean_events")
+def _(t):
+    """The raw events as files that arrive one after the other."""
+    return _streamed(t, t.raw_events(), stream.clean_stream)[0].select("timestamp", "visitorid", "event", "itemid", "transactionid")
+
+
+@query("stream_sessions")
+def _(t):
+    ev = t.events()
+    return _streamed(t, ev.unionByName(stream.closing_row(ev)), stream.session_stream)[0]
+
+
+def _streamed(t: StarTables, rows: DataFrame, build) -> tuple[DataFrame, stream.Report]:
+    """``rows`` written in three parts by time, read as a stream one file after the other."""
+    folder, out = scratch_path(t.spark, "arriving"), scratch_path(t.spark, "streamed")
+    order = F.coalesce(F.col("timestamp").try_cast("bigint"), F.lit(0))
+    first, second = rows.withColumn("_at", order).approxQuantile("_at", [0.33, 0.66], 0.01)
+    for low, high in ((None, first), (first, second), (second, None)):
+        part = rows.where((order > low if low is not None else F.lit(True)) & (order <= high if high is not None else F.lit(True)))
+        part.write.mode("append").parquet(folder)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    arriving = stream.read_stream(t.spark, folder, schema, files_at_once=4)
+    report = stream.run_available(build(arriving), out, scratch_path(t.spark, "stream-checkpoint"))
+    return tables.read_table(t.spark, out), report
+
+
 @query("clean_properties_stats")
 def _(t):
     return C.clean_properties_stats(t.raw_properties())
@@ -341,6 +385,15 @@ def _(t):
     return Q.item_index(t.events())
 
 
+@query("item_index_extended")
+def _(t):
+    """The index of the first weeks, with the items that came later."""
+    ev = t.events()
+    early = ev.where(F.dayofmonth("timestamp") <= 3)
+    stored = tables.read_table(t.spark, tables.write_table(Q.item_index(early), scratch_path(t.spark, "item_index")))
+    return Q.extend_index(stored, ev)
+
+
 @query("category_index")
 def _(t):
     return Q.category_index(t.categories())
@@ -464,6 +517,50 @@ def _(t):
     return E.item_popularity(t.events(), top=15)
 
 
+@query("top_items_bounded")
+def _(t):
+    """``top_items`` from bounded counters."""
+    return heavy_hitters(t.events(), "itemid", 15, counters=64)
+
+
+@query("sketch_ranges")
+def _(t):
+    """Exact figures of ranges of days, and whether the stored sketches meet them within their errors."""
+    ev = t.events().where("visitorid is not null")
+    dated = ev.withColumn("date", F.to_date("timestamp"))
+    path = scratch_path(t.spark, "sketches")
+    # The last day comes later, and is read alone.
+    last = dated.agg(F.max("date")).first()[0]
+    K.write_days(K.daily_sketches(ev.where(F.to_date("timestamp") < F.lit(last))), path)
+    K.write_days(K.daily_sketches(ev.where(F.to_date("timestamp") == F.lit(last))), path)
+    days = tables.read_table(t.spark, path)
+    out = []
+    for name, span in (("all", F.lit(True)), ("week", F.col("date") > F.date_sub(F.lit(last), 7)), ("day", F.col("date") == F.lit(last))):
+        exact = dated.where(span).agg(
+            F.count("*").alias("events"), F.count_distinct("visitorid").alias("visitors"), F.count_distinct("itemid").alias("items")
+        )
+        found = K.merged(days.where(span)).select(*[F.col(c).alias(f"_{c}") for c in ("events", "visitors", "items", "visitor_days", "q50", "q90")])
+        sizes = dated.where(span).groupBy("date", "visitorid").agg(F.count("*").alias("n"))
+        at = sizes.join(F.broadcast(found)).agg(
+            F.count("*").alias("visitor_days"),
+            *[F.avg((F.col("n") < F.col(f"_{q}")).cast("double")).alias(f"below_{q}") for q in ("q50", "q90")],
+            *[F.avg((F.col("n") <= F.col(f"_{q}")).cast("double")).alias(f"upto_{q}") for q in ("q50", "q90")],
+        )
+        near = {c: F.abs(F.col(f"_{c}") - F.col(c)) <= F.col(c) * K.DISTINCT_ERROR for c in ("visitors", "items")}
+        meets = [
+            (F.col(f"below_{q}") <= F.lit(p + K.RANK_ERROR)) & (F.col(f"upto_{q}") >= F.lit(p - K.RANK_ERROR)) for q, p in (("q50", 0.5), ("q90", 0.9))
+        ]
+        # One row each.
+        row = exact.join(F.broadcast(found)).join(F.broadcast(at)).select(
+            F.lit(name).alias("span"), "events", "visitors", "items", "visitor_days",
+            (F.col("_events") == F.col("events")).alias("events_ok"),
+            (near["visitors"] & near["items"]).alias("distinct_ok"),
+            (meets[0] & meets[1] & (F.col("_visitor_days") == F.col("visitor_days"))).alias("quantiles_ok"),
+        )
+        out.append(row)
+    return reduce(DataFrame.unionByName, out)
+
+
 @query("long_tail")
 def _(t):
     return E.long_tail(t.events())
@@ -1064,6 +1161,16 @@ def _(t):
     return B.category_projection(t.mart())
 
 
+@query("item_projection_noise", digits=3)
+def _(t):
+    return B.item_projection(t.mart(), noise=0.08, seed=7)
+
+
+@query("category_projection_noise", digits=3)
+def _(t):
+    return B.category_projection(t.mart(), noise=0.05, seed=7)
+
+
 @query("item_growth", digits=3)
 def _(t):
     mart = t.mart()

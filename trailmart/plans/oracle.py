@@ -210,6 +210,20 @@ _oracle(
     "raw_ev",
     "clean_ev",
 )
+_oracle("stream_clean_events", "SELECT ms * 1000 AS timestamp, visitorid, event, itemid, transactionid FROM clean_ev", "clean_ev")
+_EVENT_ROWS = f"SELECT visitorid, {_US} AS timestamp, event, itemid, transactionid FROM ev"
+_oracle(
+    "bot_filter",
+    f"{_EVENT_ROWS} QUALIFY count(*) OVER (PARTITION BY visitorid, CAST(ts AS DATE)) <= 3",
+    "ev",
+)
+_oracle("min_interactions", f"{_EVENT_ROWS} QUALIFY count(*) OVER (PARTITION BY visitorid) >= 40", "ev")
+_oracle(
+    "drop_missing_category",
+    f"{_EVENT_ROWS} WHERE itemid IN (SELECT itemid FROM props WHERE property = 'categoryid' AND itemid % 5 > 0)",
+    "ev",
+    "props",
+)
 _oracle("first_number", f"SELECT itemid, property, value, {_r('number')} AS number FROM num_props", "num_props")
 _oracle(
     "dedupe_keyed",
@@ -412,6 +426,18 @@ _oracle(
 
 _oracle("item_index", "SELECT itemid, item_idx FROM item_idx", "item_idx")
 _view("cat_idx", "SELECT categoryid, row_number() OVER (ORDER BY categoryid) AS cat_idx FROM cats", "cats")
+_oracle(
+    "item_index_extended",
+    """WITH early AS (
+         SELECT itemid, row_number() OVER (ORDER BY visitorid, ts, itemid) AS item_idx FROM (
+           SELECT itemid, visitorid, ts FROM ev WHERE day(ts) <= 3
+           QUALIFY row_number() OVER (PARTITION BY itemid ORDER BY visitorid, ts) = 1))
+       SELECT itemid, item_idx FROM early UNION ALL
+       SELECT i.itemid, row_number() OVER (ORDER BY i.item_idx) + (SELECT coalesce(max(item_idx), 0) FROM early)
+       FROM item_idx i WHERE i.itemid NOT IN (SELECT itemid FROM early)""".replace("WITH early AS (", "SELECT * FROM (WITH early AS (", 1) + ")",
+    "item_idx",
+    "ev",
+)
 _oracle("category_index", "SELECT categoryid, cat_idx FROM cat_idx", "cat_idx")
 _oracle(
     "attach_category",
@@ -523,6 +549,11 @@ _oracle(
     f"SELECT visitorid, {_US} AS timestamp, itemid, event, CAST(session AS BIGINT) AS session FROM sess",
     "sess",
 )
+_oracle(
+    "stream_sessions",
+    "SELECT visitorid, min(epoch_us(ts)) AS first, max(epoch_us(ts)) AS last, count(*) AS events FROM sess GROUP BY visitorid, session",
+    "sess",
+)
 _view("lens", "SELECT visitorid, CAST(session AS BIGINT) AS session, count(*) AS length FROM sess GROUP BY 1, 2", "sess")
 _oracle("session_lengths", "SELECT * FROM lens", "lens")
 _view("glens", "SELECT CAST(session AS BIGINT) AS session, count(*) AS length FROM sess GROUP BY 1", "sess")
@@ -572,6 +603,17 @@ for _name, _source in (("funnel_rates", "funnel"), ("funnel_rates_global", "gfun
     )
 _view("pop", "SELECT itemid, count(*) AS n FROM ev WHERE itemid IS NOT NULL GROUP BY 1", "ev")
 _oracle("item_popularity", "SELECT * FROM pop", "pop")
+_oracle("top_items_bounded", "SELECT * FROM pop ORDER BY n DESC, itemid LIMIT 15", "pop")
+_oracle(
+    "sketch_ranges",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS span, count(*) AS events, count(DISTINCT visitorid) AS visitors, count(DISTINCT itemid) AS items,
+            count(DISTINCT (visitorid, CAST(ts AS DATE))) AS visitor_days, TRUE AS events_ok, TRUE AS distinct_ok, TRUE AS quantiles_ok
+            FROM ev WHERE CAST(ts AS DATE) > (SELECT max(CAST(ts AS DATE)) FROM ev) - {days}"""
+        for name, days in (("all", 100000), ("week", 7), ("day", 1))
+    ),
+    "ev",
+)
 _oracle("top_items", "SELECT * FROM pop ORDER BY n DESC, itemid LIMIT 15", "pop")
 _view(
     "tail",
@@ -1251,7 +1293,7 @@ def _projection(prefix: str, days: str, amplitude: float) -> None:
     )
     _view(
         f"{prefix}_ahead",
-        f"""SELECT k, until + CAST(h AS INTEGER) AS date, CASE WHEN v IS NULL THEN NULL ELSE greatest(v, 0) END AS forecast
+        f"""SELECT k, v, until + CAST(h AS INTEGER) AS date, CASE WHEN v IS NULL THEN NULL ELSE greatest(v, 0) END AS forecast
             FROM (SELECT *, m * (1 + {amplitude} * sin(2 * pi() * (h - 1) / 7)) * CASE WHEN m > 0 THEN 1 + t / m * h * 0.1 ELSE 1 END AS v
                   FROM {prefix}_base, (SELECT unnest(range(1, 15)) AS h))""",
         f"{prefix}_base",
@@ -1266,6 +1308,14 @@ for _name, _prefix, _key in (("item", "it", "itemid"), ("category", "ct", "categ
         f"SELECT k AS {_key}, {_D} AS date, {_r('forecast', 3)} AS forecast FROM {_prefix}_ahead",
         f"{_prefix}_ahead",
     )
+    _noise = {"item": 0.08, "category": 0.05}[_name]
+    _uniform = f"((CAST('0x' || substr(md5(CAST(k AS VARCHAR) || '/' || CAST(date - until AS VARCHAR) || '/7'), 1, 13) AS BIGINT) + 0.5) / {float(1 << 52)})"
+    _oracle(
+        f"{_name}_projection_noise",
+        f"""SELECT k AS {_key}, {_D} AS date, {_r('CASE WHEN v IS NULL THEN NULL ELSE greatest(v, 0) END', 3)} AS forecast FROM (
+              SELECT k, date, v + {_normal_quantile('u')} * m * {_noise} AS v FROM (SELECT *, {_uniform} AS u FROM {_prefix}_ahead JOIN {_prefix}_base USING (k)))""",
+        f"{_prefix}_ahead",
+    )
     _oracle(
         f"{_name}_growth",
         f"""SELECT k AS {_key}, {_r('current_avg', 3)} AS current_avg, {_r('future_avg', 3)} AS future_avg,
