@@ -5,11 +5,12 @@ first scan on. As soon as both phrases of ``k - 1`` words inside a phrase of ``k
 in the scans so far, the longer one is active from the next scan on, is counted in one full cycle of shards, and then
 has its exact count. So lengths interleave: no length waits until the one before it is complete.
 
-What is reached lives in a table (the state), with the scan it was reached in. A scan looks phrases up in a bit map
-of hashes of the state, which has a fixed greatest size; what passes is summed in each task, then over all tasks, and
-only then joined with the state, which decides exactly. So the bit map may let too much through but loses nothing: with
-more reached phrases than it has bits for, more rows shuffle and the result stays the same. Phrases that complete
-their cycle below the threshold leave the state. Whatever the number of shards, the counts are those of the whole table.
+A scan looks up when the shorter phrases were reached in a table of one byte for each of a fixed number of slots a length,
+by hash, that every task has. Phrases that share a slot count from the scan in which the first of them was reached on. That
+can only make a longer phrase active too early, and always in the same scan: it is still counted in exactly one cycle,
+so all counts are exact whatever the hashes do, and with more reached phrases than slots more phrases are counted in
+vain. Counts are summed in each task, then over all tasks, and added to the state, a table; phrases that complete
+their cycle below the threshold leave it. Whatever the number of shards, the counts are those of the whole table.
 
 Defined results: a null language is ``und``; a null text has no words; phrases end at ``[.,;:!?\\x0A-\\x0D]`` and at the
 end of a text, words at ``[\\x20\\x09]``; repeated rows count each time; an empty table, or one without a phrase at the
@@ -19,7 +20,7 @@ are not read. A very long text is counted in one piece of memory of some twenty
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,10 @@ TOP = 2000
 SHARDS = 3
 #: Text bytes counted at a time in a task.
 CHUNK = 4_000_000
-#: Bits for each reached phrase, and the size of a bit map at least and at most (two maps of 16 MB).
-BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 27
+#: Slots of the table of reached phrases for each length: a power of two, one byte each.
+SLOTS = 1 << 22
+#: No scan: there are fewer than 255.
+NEVER = 255
 #: Parts that are ranked by themselves before a language's first rows are.
 RANK_PARTS = 64
 
@@ -49,7 +52,7 @@ WORDS = byte_table(PIECE_ENDS + b" \t")
 #: Words of phrases that are counted already: only blanks separate.
 SPELLED = byte_table(b" ", lower=False)
 ENDS = np.isin(np.arange(256), list(PIECE_ENDS))
-COUNTED = "lang string, k int, phrase string, n long"
+COUNTED = "lang string, k int, phrase string, active int, n long"
 
 
 def _lang_hashes(langs: pa.Array) -> np.ndarray:
@@ -65,7 +68,7 @@ def _longer(shorter: np.ndarray, words: np.ndarray, k: int) -> np.ndarray:
 
 
 class Chunk:
-    """The words of some texts: hashes, numbers, and how many follow in the same piece."""
+    """The words of some texts: hashes, and how many follow in the same piece."""
 
     def __init__(self, langs: pa.Array, texts: pa.Array):
         data, at = flat(texts)
@@ -76,52 +79,99 @@ class Chunk:
         spelled = (coded[coded != 0] - 1).astype(np.uint8)
         offsets = np.zeros(len(starts) + 1, np.int64)
         np.cumsum(ends - starts, out=offsets[1:])
-        words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(spelled)])
-        words = words.dictionary_encode()
-        self.number, self.spelling = words.indices.to_numpy(zero_copy_only=False), words.dictionary
+        self.words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(spelled)])
         self.hash = mixed(hashes(coded, starts, ends) + _lang_hashes(self.langs.dictionary)[self.lang])
         # Words up to the end of the piece, from each word on, counted up to LONGEST.
-        passed = np.zeros(len(data) + 1, np.int64)
+        passed = np.zeros(len(data) + 1, np.int32)
         np.cumsum(ENDS[data], out=passed[1:])
-        place = np.stack([text, passed[starts]])
-        goes_on = (place[:, 1:] == place[:, :-1]).all(axis=0)
+        piece = passed[starts]
+        goes_on = (text[1:] == text[:-1]) & (piece[1:] == piece[:-1])
         self.room = np.ones(len(starts), np.int8)
         for k in range(2, LONGEST + 1):
             n = len(starts) - k + 1
             if n > 0:
                 self.room[:n] += goes_on[k - 2 :] & (self.room[:n] == k - 1)
 
-    def counts(self, k: int, places: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+    def totals(self) -> pa.RecordBatch:
+        n = np.bincount(self.lang, minlength=len(self.langs.dictionary))
+        return _counted(self.langs.dictionary, 0, pa.array([""] * len(n)), np.zeros(len(n), np.int32), n)
+
+    def counts(self, k: int, places: np.ndarray, keys: np.ndarray, active: np.ndarray) -> pa.RecordBatch:
         """Number of each phrase of ``k`` words at ``places``; ``keys`` are the phrases' hashes."""
-        rows = np.stack([self.lang[places], *(self.number[places + j] for j in range(k))])
-        _, first, which, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-        if not (rows[:, first][:, which] == rows).all():  # two phrases with one hash
-            _, first, n = np.unique(rows, axis=1, return_index=True, return_counts=True)
-        parts = [self.spelling.take(pa.array(rows[j + 1, first])) for j in range(k)]
+        needed = np.zeros(len(self.words), bool)
+        for j in range(k):
+            needed[places + j] = True
+        words = self.words.filter(pa.array(needed)).dictionary_encode()
+        number = words.indices.to_numpy(zero_copy_only=False)[np.cumsum(needed, dtype=np.int32) - 1]
+        rows = [self.lang[places], *(number[places + j] for j in range(k))]
+        which = pa.array(keys).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        n = np.bincount(which)
+        first = np.empty(len(n), np.int64)
+        first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+        if not all((r[first][which] == r).all() for r in rows):  # two phrases with one hash
+            _, first, n = np.unique(np.stack(rows), axis=1, return_index=True, return_counts=True)
+        parts = [words.dictionary.take(pa.array(r[first])) for r in rows[1:]]
         phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if k > 1 else parts[0]
-        lang = self.langs.dictionary.take(pa.array(rows[0, first]))
-        columns = [lang.cast(pa.string()), pa.array(np.full(len(n), k, np.int32)), phrase.cast(pa.string()), pa.array(n)]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "k", "phrase", "n"])
+        return _counted(self.langs.dictionary.take(pa.array(rows[0][first])), k, phrase, active[first], n)
 
 
-    def totals(self) -> pa.RecordBatch:
-        n = np.bincount(self.lang, minlength=len(self.langs.dictionary))
-        columns = [self.langs.dictionary.cast(pa.string()), pa.array(np.zeros(len(n), np.int32)), pa.array([""] * len(n)), pa.array(n)]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "k", "phrase", "n"])
+def _counted(lang: pa.Array, k: int, phrase: pa.Array, active: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    columns = [lang.cast(pa.string()), pa.array(np.full(len(n), k, np.int32)), phrase.cast(pa.string()), pa.array(active), pa.array(n)]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "k", "phrase", "active", "n"])
 
 
-class BitMap:
-    """Which hashes are there, and which of them since the last full cycle."""
+class Reached:
+    """In which scan the first phrase of each slot reached the threshold; ``NEVER`` before that. Every length has its slots.
 
-    def __init__(self, words: np.ndarray, reached: np.ndarray, recent: np.ndarray, bits: int):
-        self.maps = np.zeros((2, bits // 64), np.uint64)
-        self.maps[:, words] = reached, recent
-        self.last = np.uint64(bits - 1)
+    A slot keeps its first scan for good, so what is looked up for a phrase never changes once it is there.
+    """
 
-    def test(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = h & self.last
-        word, bit = at >> np.uint64(6), at & np.uint64(63)
-        return tuple(((m[word] >> bit) & np.uint64(1)).astype(bool) for m in self.maps)
+    def __init__(self, slots: int):
+        self.slots = slots
+        self.scan = np.full((LONGEST - 1) * slots, NEVER, np.uint8)
+
+    def __getstate__(self) -> tuple:
+        at = np.flatnonzero(self.scan != NEVER)
+        return (self.slots, at.astype(np.uint32), self.scan[at])
+
+    def __setstate__(self, state: tuple) -> None:
+        self.__init__(state[0])
+        self.scan[state[1]] = state[2]
+
+    def of(self, k: int, h: np.ndarray) -> np.ndarray:
+        return self.scan[(k - 1) * self.slots : k * self.slots][h & np.uint64(self.slots - 1)]
+
+    def add(self, state: DataFrame, scan: int) -> None:
+        """Slots of the phrases that ``state`` has as reached in ``scan``."""
+        slots = self.slots
+
+        def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = (_phrase_hashes(batch) & np.uint64(slots - 1)).view(np.int64) + (batch.column("k").to_numpy() - 1) * slots
+                yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(np.int64(1) << (at & 63))], ["word", "bits"])
+
+        new = state.where((F.col("reached") == scan) & (F.col("k") < LONGEST)).select("lang", "phrase", F.col("k").cast("bigint").alias("k"))
+        rows = new.mapInArrow(places, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+        table = rows.toArrow()  # at most one row for 64 slots
+        bits = table.column("bits").to_numpy().view(np.uint64)
+        at = table.column("word").to_numpy()[:, None] * 64 + np.arange(64)
+        at = at[((bits[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).astype(bool)]
+        self.scan[at[self.scan[at] == NEVER]] = scan
+
+
+def _phrase_hashes(batch: pa.RecordBatch) -> np.ndarray:
+    """Hashes of the phrases in a batch of the state, as ``Chunk`` and ``_longer`` make them."""
+    data, at = flat(batch.column("phrase"))
+    coded = SPELLED[data]
+    starts, ends, row = boundaries(coded, at)
+    words = mixed(hashes(coded, starts, ends) + _lang_hashes(batch.column("lang"))[row])
+    first = np.searchsorted(row, np.arange(len(batch)))
+    length = np.bincount(row, minlength=len(batch))
+    found, whole = np.zeros(len(batch), np.uint64), words
+    for k in range(1, LONGEST):
+        whole = _longer(whole, words, k) if k > 1 else words
+        found[length == k] = whole[first[length == k]]
+    return found
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -136,97 +186,57 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _scan(shard: DataFrame, words: bool, known: Broadcast | None) -> DataFrame:
-    """(lang, k, phrase, n), several rows a phrase: words if wanted, and phrases that the bit map lets through."""
+def _scan(shard: DataFrame, step: int, shards: int, reached: Broadcast, lengths: Sequence[int]) -> DataFrame:
+    """(lang, k, phrase, active, n), several rows a phrase: words in the first cycle, and the phrases active in this scan.
+
+    ``lengths`` are those that can be active.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _chunks(batches):
             chunk = Chunk(table.column("lang").combine_chunks(), table.column("text").combine_chunks())
-            if not len(chunk.hash):
+            n = len(chunk.hash)
+            if not n:
                 continue
-            if words:
+            if step < shards:
                 yield chunk.totals()
-                yield chunk.counts(1, np.arange(len(chunk.hash)), chunk.hash)
-            if known is None:
-                continue
+                yield chunk.counts(1, np.arange(n), chunk.hash, np.zeros(n, np.int32))
             shorter = chunk.hash
-            for k in range(2, LONGEST + 1):
+            for k in range(2, max(lengths, default=1) + 1):
                 whole = _longer(shorter, chunk.hash, k)
-                reached, recent = known.value.test(shorter)
-                n = len(whole)
-                both = reached[:n] & reached[1 : n + 1] & (recent[:n] | recent[1 : n + 1])
-                places = np.flatnonzero(both & (chunk.room[:n] >= k))
-                if len(places):
-                    yield chunk.counts(k, places, whole[places])
+                if k in lengths and len(whole):
+                    scan = reached.value.of(k - 1, shorter[: len(whole) + 1])
+                    later = np.maximum(scan[:-1], scan[1:])
+                    # Active from the scan after the later one of both shorter phrases, for one cycle.
+                    places = np.flatnonzero((later != NEVER) & (later + shards >= step) & (chunk.room[: len(whole)] >= k))
+                    if len(places):
+                        yield chunk.counts(k, places, whole[places], later[places].astype(np.int32) + 1)
                 shorter = whole
 
     return shard.mapInArrow(count, COUNTED)
 
 
-def _bit_map(state: DataFrame, since: int) -> BitMap | None:
-    """Bit map of the reached phrases that a longer one may hold; ``since`` is the first scan that counts as recent."""
-    reached = state.where(f"reached is not null and k < {LONGEST}").select("lang", "phrase", (F.col("reached") >= since).alias("recent"))
-    n = reached.count()
-    if not n:
-        return None
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * n - 1).bit_length()))
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, at = flat(batch.column("phrase"))
-            coded = SPELLED[data]
-            starts, ends, row = boundaries(coded, at)
-            words = mixed(hashes(coded, starts, ends) + _lang_hashes(batch.column("lang"))[row])
-            first = np.searchsorted(row, np.arange(len(batch)))
-            length = np.bincount(row, minlength=len(batch))
-            found, whole = np.zeros(len(batch), np.uint64), words
-            for k in range(1, LONGEST):
-                if k > 1:
-                    whole = _longer(whole, words, k)
-                of_k = length == k
-                found[of_k] = whole[first[of_k]]
-            at = found & np.uint64(bits - 1)
-            bit = (np.uint64(1) << (at & np.uint64(63))).view(np.int64)
-            recent = np.where(batch.column("recent").to_numpy(zero_copy_only=False), bit, 0)
-            columns = [(at >> np.uint64(6)).view(np.int64), bit, recent]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["word", "reached", "recent"])
-
-    rows = reached.mapInArrow(places, "word long, reached long, recent long")
-    rows = rows.groupBy("word").agg(F.bit_or("reached").alias("reached"), F.bit_or("recent").alias("recent"))
-    table = rows.toArrow()  # one row per word of the map with a bit set: bits / 64 at most
-    word, hit, recent = (table.column(c).to_numpy() for c in ("word", "reached", "recent"))
-    return BitMap(word, hit.view(np.uint64), recent.view(np.uint64), bits)
-
-
 def _part(phrase: Column, words: Column) -> Column:
     """The first ``words`` words of a phrase; the last ones where ``words`` is negative."""
     return F.call_function("substring_index", phrase, F.lit(" "), words)
 
 
 def _next_state(state: DataFrame, found: DataFrame, step: int, threshold: int, shards: int) -> DataFrame:
-    """The state after scan ``step``: counts added, new phrases activated, what is reached now, without what has failed."""
-    old = state.withColumn("new", F.lit(0).cast("bigint"))
+    """The state after scan ``step``: counts added, what is reached now, without what has failed."""
     none = F.lit(None).cast("int")
-    new = found.select("lang", "k", "phrase", none.alias("active"), none.alias("reached"), F.lit(0).cast("bigint").alias("n"), F.col("n").alias("new"))
-    rows = old.unionByName(new).groupBy("lang", "k", "phrase").agg(
-        F.max("active").alias("active"), F.max("reached").alias("reached"), F.sum("n").alias("n"), F.sum("new").alias("new")
+    new = found.select("lang", "k", "phrase", "active", none.alias("reached"), "n")
+    rows = state.unionByName(new).groupBy("lang", "k", "phrase").agg(
+        F.min("active").alias("active"), F.max("reached").alias("reached"), F.sum("n").alias("n")
     )
-    # A phrase met for the first time asks for its two shorter ones; the others ask for themselves, spread as they are.
-    asks, k = F.col("active").isNull() & (F.col("k") > 1), F.col("k")
-    for name, part in (("start", _part(F.col("phrase"), k - 1)), ("rest", _part(F.col("phrase"), 1 - k))):
-        known = state.where("reached is not null").select(F.col("lang").alias("_lang"), F.col("phrase").alias("_phrase"), F.col("reached").alias(name))
-        asked = F.when(asks, part).otherwise(F.col("phrase"))
-        rows = rows.join(known, (F.col("lang") == F.col("_lang")) & (asked == F.col("_phrase")), "left").drop("_lang", "_phrase")
-    both = F.when(F.col("start").isNotNull() & F.col("rest").isNotNull(), F.greatest("start", "rest") + 1)
-    rows = rows.withColumn("active", F.coalesce("active", F.when(k < 2, F.lit(0)).otherwise(both))).where("active is not null")
-    counted = F.when(F.col("active") + shards > step, F.col("new")).otherwise(0)
-    rows = rows.withColumn("n", F.col("n") + counted)
-    rows = rows.withColumn("reached", F.coalesce("reached", F.when((k > 0) & (F.col("n") >= threshold), F.lit(step))))
-    stays = (F.col("active") + (shards - 1) > step) | F.col("reached").isNotNull() | (k == 0)
+    now = F.when((F.col("k") > 0) & (F.col("n") >= threshold), F.lit(step))
+    rows = rows.withColumn("reached", F.coalesce("reached", now))
+    stays = (F.col("active") + (shards - 1) > step) | F.col("reached").isNotNull() | (F.col("k") == 0)
     return rows.where(stays).select("lang", "k", "phrase", "active", "reached", "n")
 
 
-def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", threshold: int = THRESHOLD, shards: int = SHARDS) -> DataFrame:
+def frequent(
+    docs: DataFrame, text: str = "text", lang: str = "lang", threshold: int = THRESHOLD, shards: int = SHARDS, slots: int = SLOTS
+) -> DataFrame:
     """Phrases of up to ``LONGEST`` words with their exact counts, ``(lang, k, phrase, n)``; ``k`` 0 is all words of a language."""
     spark = docs.sparkSession
     path = scratch_path(spark, "shards")
@@ -235,15 +245,16 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", threshold:
     dealt = spark.read.schema("lang string, text string, shard int").parquet(path)
     ship(spark)
     state = spark.createDataFrame([], "lang string, k int, phrase string, active int, reached int, n long")
-    step = last = 0
+    reached, lengths, step = Reached(slots), [], 0
     # A phrase reached in scan r makes longer ones active from r + 1 to r + shards.
-    while step < shards or (last is not None and last + shards >= step):
-        bit_map = _bit_map(state, step - shards)
-        known = spark.sparkContext.broadcast(bit_map) if bit_map else None
+    while step < shards or lengths:
         shard = dealt.where(F.col("shard") == step % shards).select("lang", "text")
-        state = written(_next_state(state, _scan(shard, step < shards, known), step, threshold, shards), "state")
-        last = state.where(f"k < {LONGEST}").agg(F.max("reached")).first()[0]
+        found = _scan(shard, step, shards, spark.sparkContext.broadcast(reached), lengths)
+        state = written(_next_state(state, found, step, threshold, shards), "state")
+        reached.add(state, step)
         step += 1
+        recent = state.where((F.col("reached") >= step - shards) & (F.col("k") < LONGEST)).select("k").distinct()
+        lengths = sorted(r.k + 1 for r in recent.collect())
     return state.where("reached is not null or k = 0").select("lang", "k", "phrase", "n")
 
 
