@@ -64,7 +64,7 @@ def test_every_query_is_registered_with_sql_or_reason():
     # Fitted models and their tuning tables have no SQL form.
     assert set(QUERIES) - set(ORACLES) == {
         "train_forecast", "train_forecast_trees", "train_tweedie", "predict", "saved_model_predict",
-        "feature_importance", "tune_forecast", "train_boosted", "boosting_curve", "tune_forecast_rungs",
+        "feature_importance", "tune_forecast", "train_boosted", "boosting_curve", "tune_forecast_rungs", "vector_recommendations",
     }
     assert set(ORACLES) <= set(QUERIES)
 

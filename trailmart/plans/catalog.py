@@ -24,6 +24,7 @@ from ..operators import recommending as R
 from ..operators import search as S
 from ..operators import sequences as Q
 from ..operators import sketches as K
+from ..operators import vectors as W
 from ..operators.heavy import heavy_hitters
 from ..params import Params
 from ..session import scratch_path, use_utc
@@ -1038,6 +1039,31 @@ def _(t):
     return _tuned(t)
 
 
+def _vector_answers(t: StarTables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    seq = tables.read_table(t.spark, tables.write_table(t.sequences(), scratch_path(t.spark, "sequences")))
+    train, test = R.visitor_split(seq)
+    hist = R.leave_last_out(test)
+    before, after = W.item_vectors(train)
+    visitors = W.visitor_vectors(hist, before)
+    found = W.nearest(visitors, after, Params().top_k)
+    return W.recommend(hist, found, R.popular_items(train, 2 * Params().top_k)), found, visitors, after
+
+
+@query("vector_recommendations")
+def _(t):
+    return R.hit_ndcg(_vector_answers(t)[0])
+
+
+@query("vector_checks")
+def _(t):
+    """Every held-out visitor gets ``k`` different items, and the hash join finds nine of ten of the best ones."""
+    answers, found, visitors, after = _vector_answers(t)
+    k = Params().top_k
+    right = (F.size("top") == k) & (F.size(F.array_distinct("top")) == k)
+    counts = answers.agg(F.count("*").alias("samples"), F.count_if(right).alias("full"))
+    return counts.join(F.broadcast(W.recall(found, visitors, after, k).select((F.col("recall") >= 0.9).alias("recall_ok"))))
+
+
 #: Windows, decays and histories that the rungs narrow down.
 RUNG_OPTIONS = [
     R.RecoCandidate(window=w, decay=d, history=h, recency=r)

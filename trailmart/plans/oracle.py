@@ -1071,6 +1071,7 @@ _oracle(
            OR candidate = (SELECT candidate FROM trials WHERE scored_on = 'holdout' ORDER BY ndcg DESC, candidate LIMIT 1)""",
     "trials",
 )
+_oracle("vector_checks", f"SELECT count(*) AS samples, count(*) AS full, TRUE AS recall_ok FROM goal WHERE {_TEST}", "goal")
 # Successive halving: window, decay, history, recency of each candidate; the share of visitors and who goes on by rung.
 _options = [(1, 0.5, 50, 0.5), (3, 0.5, 50, 0.8), (5, 0.8, 20, 0.5), (2, 0.7, 50, 0.9), (4, 0.6, 30, 0.7), (1, 0.5, 10, 0.3)]
 for _rung, (_part, _go_on) in enumerate([(25, 3), (50, 2), (100, 1)]):
