@@ -57,71 +57,77 @@ def exact_quantiles(
 def exact_quantiles_of(
     df: DataFrame, wanted: dict[str, list[float]], weight: str | None = None, keep: bool = True
 ) -> dict[str, list[float | None]]:
-    """``exact_quantiles`` of several columns over one kept projection of ``df``."""
+    """``exact_quantiles`` of several columns, all in the same scans of one kept projection of ``df``."""
     size = F.lit(1).cast("bigint") if weight is None else F.col(weight)
     # NaN counts as missing.
     numbers = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in wanted]
     kept = df.select(*numbers, size.alias("_w"))
     if keep:
         kept.persist()
-    result = {}
     try:
-        for c, probs in wanted.items():
-            values = kept.where(F.col(c).isNotNull()).select(F.col(c).alias("v"), F.col("_w").alias("w"))
-            result[c] = _quantiles(values, probs)
+        cells = [F.struct(F.lit(i).alias("c"), F.col(c).alias("v")) for i, c in enumerate(wanted)]
+        values = kept.select(F.explode(F.array(*cells)).alias("_e"), "_w").select("_e.c", "_e.v", F.col("_w").alias("w"))
+        found = _quantiles(values.where("v is not null"), list(wanted.values()))
     finally:
         if keep:
             kept.unpersist()
-    return result
+    return dict(zip(wanted, found))
 
 
-def _quantiles(values: DataFrame, probs: list[float]) -> list[float | None]:
+def _quantiles(values: DataFrame, wanted: list[list[float]]) -> list[list[float | None]]:
+    """Quantiles of the values ``v`` of each column number ``c``."""
     # Infinities are counted, not binned: they come before and after all finite values.
     endless = F.abs("v") == float("inf")
-    whole = values.agg(
+    stats = values.groupBy("c").agg(
         F.sum("w").alias("n"),
         F.coalesce(F.sum(F.when(endless & (F.col("v") < 0), F.col("w"))), F.lit(0)).alias("below"),
         F.coalesce(F.sum(F.when(endless & (F.col("v") > 0), F.col("w"))), F.lit(0)).alias("above"),
         F.min(F.when(~endless, F.col("v"))).alias("lo"),
         F.max(F.when(~endless, F.col("v"))).alias("hi"),
-    ).first()
-    if not whole.n:
-        return [None] * len(probs)
-    last = whole.n - 1
-    low_ranks = [math.floor(p * last) for p in probs]
-    wanted = sorted({r for low in low_ranks for r in (low, min(low + 1, last))})
-
-    found: dict[int, float] = {r: -math.inf for r in wanted if r < whole.below}
-    found.update({r: math.inf for r in wanted if r >= whole.n - whole.above})
-    # Open ranges of values: (lowest, highest, rows before, rows inside) -> ranks wanted there.
-    inside = [r for r in wanted if r not in found]
-    open_ranges = {(whole.lo, whole.hi, whole.below, whole.n - whole.below - whole.above): inside} if inside else {}
+    )
+    whole = {r.c: r for r in stats.collect()}  # one row per column
+    found: list[dict[int, float]] = [{} for _ in wanted]
+    # Open ranges of values: (column, lowest, highest, rows before, rows inside) -> ranks wanted there.
+    open_ranges: dict = {}
+    for c, probs in enumerate(wanted):
+        if c not in whole or not whole[c].n:
+            continue
+        r = whole[c]
+        last = r.n - 1
+        ranks = sorted({k for p in probs for k in (math.floor(p * last), min(math.floor(p * last) + 1, last))})
+        found[c].update({k: -math.inf for k in ranks if k < r.below})
+        found[c].update({k: math.inf for k in ranks if k >= r.n - r.above})
+        inside = [k for k in ranks if k not in found[c]]
+        if inside:
+            open_ranges[c, r.lo, r.hi, r.below, r.n - r.below - r.above] = inside
     while open_ranges:
         # A range of one value needs no look.
-        for (lo, hi, _, _), ranks in open_ranges.items():
+        for (c, lo, hi, _, _), ranks in open_ranges.items():
             if lo == hi:
-                found.update(dict.fromkeys(ranks, lo))
-        open_ranges = {r: ranks for r, ranks in open_ranges.items() if r[0] < r[1]}
-        if not open_ranges:
-            break
-        open_ranges = _look_closer(values, open_ranges)
-
-    result = []
-    for p, low in zip(probs, low_ranks):
-        a, b, t = found[low], found[min(low + 1, last)], p * last - low
-        if a == b or t == 0:
-            result.append(a)
-        else:
-            result.append(a + (b - a) * t if t < 0.5 else b - (b - a) * (1 - t))
-    return result
+                found[c].update(dict.fromkeys(ranks, lo))
+        open_ranges = {r: ranks for r, ranks in open_ranges.items() if r[1] < r[2]}
+        if open_ranges:
+            open_ranges = _look_closer(values, open_ranges)
+    return [
+        [_between(found[c], p, whole[c].n - 1) for p in probs] if c in whole and whole[c].n else [None] * len(probs)
+        for c, probs in enumerate(wanted)
+    ]
+
+
+def _between(found: dict[int, float], p: float, last: int) -> float:
+    low = math.floor(p * last)
+    a, b, t = found[low], found[min(low + 1, last)], p * last - low
+    if a == b or t == 0:
+        return a
+    return a + (b - a) * t if t < 0.5 else b - (b - a) * (1 - t)
 
 
 def _look_closer(values: DataFrame, open_ranges: dict) -> dict:
-    """The bins of the open ranges that hold the wanted ranks, as new ranges."""
+    """The bins of the open ranges that hold the wanted ranks, as new ranges; one scan for all columns."""
     spans = list(open_ranges)
     v, which, bin_no = F.col("v"), F.lit(None).cast("int"), F.lit(None).cast("bigint")
-    for number, (lo, hi, _, _) in enumerate(spans):
-        inside = (v >= lo) & (v <= hi)
+    for number, (c, lo, hi, _, _) in enumerate(spans):
+        inside = (F.col("c") == c) & (v >= lo) & (v <= hi)
         which = F.when(inside, F.lit(number)).otherwise(which)
         # Halves keep the width of a very long range finite.
         spot = F.floor((v / 2 - F.lit(lo / 2)) / F.lit(max(hi / 2 - lo / 2, 5e-324)) * _BINS)
@@ -135,11 +141,11 @@ def _look_closer(values: DataFrame, open_ranges: dict) -> dict:
     )
     closer: dict = {}
     for number, span in enumerate(spans):
-        ranks, before = open_ranges[span], span[2]
+        ranks, before = open_ranges[span], span[3]
         for b in sorted((b for b in bins if b.span == number), key=lambda b: b.lo):
             here = [r for r in ranks if before <= r < before + b.n]
             if here:
-                closer[(b.lo, b.hi, before, b.n)] = here
+                closer[(span[0], b.lo, b.hi, before, b.n)] = here
             before += b.n
     return closer
 

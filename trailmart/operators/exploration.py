@@ -12,6 +12,7 @@ from ..functions.histograms import fixed_hist, frequency_hist
 from ..functions.ordering import edges_between, exact_quantiles, with_position
 from ..functions.scalars import time_block
 from ..params import Params
+from ..session import materialise
 
 DEFAULTS = Params()
 # Gap histogram edges in seconds.
@@ -186,8 +187,8 @@ def long_tail(ev: DataFrame) -> DataFrame:
     popularity = item_popularity(ev)
     ranked = with_position(popularity, [F.desc("n"), "itemid"], "rank")
     covered = F.col("events_before") + (F.col("rank") - F.col("items_before")) * F.col("n")
-    # Bounded side: one row per distinct count, see popularity_steps.
-    steps = F.broadcast(popularity_steps(popularity).drop("items"))
+    # From the written ranks: the events are counted once.
+    steps = popularity_steps(ranked.select("itemid", "n")).drop("items")
     return ranked.join(steps, "n").select(
         "itemid", "n", "rank", (covered / F.col("total")).alias("cum_share")
     )
@@ -295,36 +296,36 @@ def inter_event_gaps(ev: DataFrame) -> DataFrame:
     Events of one instant fold into a row first; they are ``n - 1`` gaps of
     zero. Gaps are then found inside visitor-hours, and across hours from the
     first and last instant of each, so a busy visitor is many small windows: an
-    hour has at most 3.6 million distinct milliseconds.
+    hour has at most 3.6 million distinct milliseconds. Both parts read the same
+    shuffled instants: they ask for the same columns of them.
     """
     usable = ev.where(F.col("visitorid").isNotNull() & F.col("timestamp").isNotNull())
     micros = F.unix_micros("timestamp")
     instants = usable.groupBy(
         "visitorid", time_block("timestamp", 3_600).alias("_hour"), micros.alias("_at")
     ).agg(F.count(F.lit(1)).alias("_n"))
-    inside = Window.partitionBy("visitorid", "_hour").orderBy("_at")
+    hour = Window.partitionBy("visitorid", "_hour")
+    placed = instants.select("*", F.lag("_at").over(hour.orderBy("_at")).alias("_before"), F.max("_at").over(hour).alias("_last"))
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     within = (
-        instants.withColumn("_gap", F.col("_at") - F.lag("_at").over(inside))
-        .select(
+        placed.select(
             "visitorid",
             F.explode(
                 F.array(
-                    F.struct(F.col("_gap").alias("gap"), F.lit(1).cast("bigint").alias("pairs")),
-                    F.struct(F.lit(0).cast("bigint").alias("gap"), (F.col("_n") - 1).alias("pairs")),
+                    F.struct((F.col("_at") - F.col("_before")).alias("gap"), one.alias("pairs")),
+                    F.struct(none.alias("gap"), (F.col("_n") - 1).alias("pairs")),
                 )
             ).alias("g"),
         )
         .select("visitorid", "g.gap", "g.pairs")
         .where(F.col("gap").isNotNull() & (F.col("pairs") > 0))
     )
-    hours = usable.groupBy("visitorid", time_block("timestamp", 3_600).alias("_hour")).agg(
-        F.min(micros).alias("_first"), F.max(micros).alias("_last")
-    )
     earlier = Window.partitionBy("visitorid").orderBy("_hour")
-    across = hours.select(
+    firsts = placed.where(F.col("_before").isNull())
+    across = firsts.select(
         "visitorid",
-        (F.col("_first") - F.lag("_last").over(earlier)).alias("gap"),
-        F.lit(1).cast("bigint").alias("pairs"),
+        (F.col("_at") - F.lag("_last").over(earlier)).alias("gap"),
+        F.least(F.col("_n"), one).alias("pairs"),
     ).where(F.col("gap").isNotNull())
     both = within.unionByName(across)
     return both.select("visitorid", (F.col("gap") / F.lit(1e6)).alias("gap_seconds"), "pairs")
@@ -336,15 +337,11 @@ def gap_hist(ev: DataFrame, edges: list[float] = GAP_EDGES) -> DataFrame:
 
 def gap_stats(ev: DataFrame) -> DataFrame:
     """Median gap and the share of all gaps of at most a minute."""
-    gaps = inter_event_gaps(ev).select("gap_seconds", "pairs").persist()
+    # Once per gap, written: both figures come from these rows.
+    gaps = materialise(inter_event_gaps(ev).groupBy("gap_seconds").agg(F.sum("pairs").alias("pairs")))
     quick = F.sum(F.when(F.col("gap_seconds") <= 60, F.col("pairs")).otherwise(0))
-    try:
-        share = gaps.agg((quick / F.sum("pairs")).alias("share")).first().share
-        median = exact_quantiles(gaps, "gap_seconds", [0.5], weight="pairs", keep=False)[0]
-    finally:
-        gaps.unpersist()
-    report = "median_gap_seconds double, share_within_minute double"
-    return ev.sparkSession.createDataFrame([(median, share)], report)
+    median = exact_quantiles(gaps, "gap_seconds", [0.5], weight="pairs", keep=False)[0]
+    return gaps.agg(F.lit(median).cast("double").alias("median_gap_seconds"), (quick / F.sum("pairs")).alias("share_within_minute"))
 
 
 def eda_summary(ev: DataFrame) -> DataFrame:
