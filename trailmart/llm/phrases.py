@@ -58,7 +58,8 @@ COUNTED = "lang string, k int, phrase string, active int, n long"
 def _lang_hashes(langs: pa.Array) -> np.ndarray:
     data, at = flat(langs)
     coded = np.append(data, 0).astype(np.uint16) + 1
-    return hashes(coded, at[:-1], at[1:])
+    # Mixed once more: a language named like a word must not have that word's hash.
+    return mixed(~hashes(coded, at[:-1], at[1:]))
 
 
 def _longer(shorter: np.ndarray, words: np.ndarray, k: int) -> np.ndarray:
@@ -79,6 +80,7 @@ class Chunk:
         spelled = (coded[coded != 0] - 1).astype(np.uint8)
         offsets = np.zeros(len(starts) + 1, np.int64)
         np.cumsum(ends - starts, out=offsets[1:])
+        self.numbered: pa.DictionaryArray | None = None
         self.words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(spelled)])
         self.hash = mixed(hashes(coded, starts, ends) + _lang_hashes(self.langs.dictionary)[self.lang])
         # Words up to the end of the piece, from each word on, counted up to LONGEST.
@@ -98,11 +100,15 @@ class Chunk:
 
     def counts(self, k: int, places: np.ndarray, keys: np.ndarray, active: np.ndarray) -> pa.RecordBatch:
         """Number of each phrase of ``k`` words at ``places``; ``keys`` are the phrases' hashes."""
-        needed = np.zeros(len(self.words), bool)
-        for j in range(k):
-            needed[places + j] = True
-        words = self.words.filter(pa.array(needed)).dictionary_encode()
-        number = words.indices.to_numpy(zero_copy_only=False)[np.cumsum(needed, dtype=np.int32) - 1]
+        if self.numbered is None and k > 1 and len(places) < len(self.words) // 4:
+            needed = np.zeros(len(self.words), bool)
+            for j in range(k):
+                needed[places + j] = True
+            words = self.words.filter(pa.array(needed)).dictionary_encode()
+            number = words.indices.to_numpy(zero_copy_only=False)[np.cumsum(needed, dtype=np.int32) - 1]
+        else:
+            words = self.numbered = self.words.dictionary_encode() if self.numbered is None else self.numbered
+            number = words.indices.to_numpy(zero_copy_only=False)
         rows = [self.lang[places], *(number[places + j] for j in range(k))]
         which = pa.array(keys).dictionary_encode().indices.to_numpy(zero_copy_only=False)
         n = np.bincount(which)
