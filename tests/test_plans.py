@@ -22,7 +22,9 @@ SOME = [
     "scan_events", "parquet_roundtrip", "clean_events_stats", "clean_properties", "forecast_features",
     "reco_sequences", "sessionize", "session_length_hist", "long_tail", "coverage_items", "gap_stats",
     "expanding_folds", "tercile_matrix", "mape_by_quintile", "hit_ndcg", "reco_confidence", "insights",
-    "category_projection", "session_explorer", "selector_dates",
+    "category_projection", "session_explorer", "selector_dates", "price_change_asof", "forecast_features_stored", "features_new_day",
+    "targets_due", "boosting_start", "boosting_balance", "tune_reco_rungs", "stream_clean_events", "stream_sessions", "sketch_ranges",
+    "top_items_bounded", "item_index_extended", "item_projection_noise", "bot_filter", "min_interactions", "drop_missing_category",
 ]
 
 
@@ -49,6 +51,13 @@ def test_scan_reads_only_needed_columns(star):
     assert schema == "struct<ts:timestamp_ntz,event_type:string>"
 
 
+def test_gaps_read_the_events_once(star):
+    df = E.gap_hist(star.all_events())
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 def test_last_n_is_limited_before_the_shuffle(star):
     text = plan(Q.last_n_per_visitor(star.events()))
     assert re.search(r"WindowGroupLimit .*Partial", text) and re.search(r"WindowGroupLimit .*Final", text)
