@@ -98,10 +98,12 @@ def nearest(visitors: DataFrame, after: DataFrame, k: int, m: VectorModel = Vect
 
 def recommend(hist: DataFrame, found: DataFrame, popular: DataFrame, k: int = DEFAULTS.top_k) -> DataFrame:
     """``hist`` with ``top``: the items found, then popular ones up to ``k``. ``popular`` has (next, place), 2k rows."""
-    pool = F.broadcast(popular.limit(2 * k).agg(F.collect_list(F.struct("place", "next")).alias("_pool")))
-    free = hist.select("visitorid").distinct().join(pool).select("visitorid", F.explode("_pool").alias("_p"))
-    free = free.select("visitorid", F.col("_p.next").alias("next"), (F.lit(10.0) + F.col("_p.place")).alias("distance"))
-    both = found.unionByName(free).groupBy("visitorid", "next").agg(F.min("distance").alias("distance"))
+    pool = [F.struct(F.lit(r.next).alias("next"), F.lit(10.0 + r.place).alias("distance")) for r in popular.orderBy("place").limit(2 * k).collect()]
+    both = found
+    if pool:
+        free = hist.select("visitorid").distinct().select("visitorid", F.explode(F.array(*pool)).alias("_p"))
+        both = found.unionByName(free.select("visitorid", F.col("_p.next").cast(found.schema["next"].dataType).alias("next"), "_p.distance"))
+    both = both.groupBy("visitorid", "next").agg(F.min("distance").alias("distance"))
     order = Window.partitionBy("visitorid").orderBy("distance", "next")
     ranked = both.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
     top = ranked.groupBy("visitorid").agg(F.sort_array(F.collect_list(F.struct("_rank", "next"))).alias("_top"))

@@ -540,24 +540,23 @@ def _(t):
         exact = dated.where(span).agg(
             F.count("*").alias("events"), F.count_distinct("visitorid").alias("visitors"), F.count_distinct("itemid").alias("items")
         )
-        found = K.merged(days.where(span)).select(*[F.col(c).alias(f"_{c}") for c in ("events", "visitors", "items", "visitor_days", "q50", "q90")])
+        found = K.merged(days.where(span)).first()
         sizes = dated.where(span).groupBy("date", "visitorid").agg(F.count("*").alias("n"))
-        at = sizes.join(F.broadcast(found)).agg(
+        ranks = sizes.agg(
             F.count("*").alias("visitor_days"),
-            *[F.avg((F.col("n") < F.col(f"_{q}")).cast("double")).alias(f"below_{q}") for q in ("q50", "q90")],
-            *[F.avg((F.col("n") <= F.col(f"_{q}")).cast("double")).alias(f"upto_{q}") for q in ("q50", "q90")],
+            *[F.avg((F.col("n") < found[q]).cast("double")).alias(f"below_{q}") for q in ("q50", "q90")],
+            *[F.avg((F.col("n") <= found[q]).cast("double")).alias(f"upto_{q}") for q in ("q50", "q90")],
+        ).first()
+        near = [F.abs(F.lit(found[c]) - F.col(c)) <= F.col(c) * K.DISTINCT_ERROR for c in ("visitors", "items")]
+        meets = [ranks[f"below_{q}"] <= p + K.RANK_ERROR and ranks[f"upto_{q}"] >= p - K.RANK_ERROR for q, p in (("q50", 0.5), ("q90", 0.9))]
+        row = exact.select(
+            F.lit(name).alias("span"),
+            "*",
+            F.lit(ranks.visitor_days).alias("visitor_days"),
+            (F.col("events") == found.events).alias("events_ok"),
+            (near[0] & near[1]).alias("distinct_ok"),
+            F.lit(all(meets) and found.visitor_days == ranks.visitor_days).alias("quantiles_ok"),
         )
-        near = {c: F.abs(F.col(f"_{c}") - F.col(c)) <= F.col(c) * K.DISTINCT_ERROR for c in ("visitors", "items")}
-        meets = [
-            (F.col(f"below_{q}") <= F.lit(p + K.RANK_ERROR)) & (F.col(f"upto_{q}") >= F.lit(p - K.RANK_ERROR)) for q, p in (("q50", 0.5), ("q90", 0.9))
-        ]
-        # One row each.
-        row = exact.join(F.broadcast(found)).join(F.broadcast(at)).select(
-            F.lit(name).alias("span"), "events", "visitors", "items", "visitor_days",
-            (F.col("_events") == F.col("events")).alias("events_ok"),
-            (near["visitors"] & near["items"]).alias("distinct_ok"),
-            (meets[0] & meets[1] & (F.col("_visitor_days") == F.col("visitor_days"))).alias("quantiles_ok"),
-        )
         out.append(row)
     return reduce(DataFrame.unionByName, out)
 
@@ -1061,7 +1060,7 @@ def _(t):
     k = Params().top_k
     right = (F.size("top") == k) & (F.size(F.array_distinct("top")) == k)
     counts = answers.agg(F.count("*").alias("samples"), F.count_if(right).alias("full"))
-    return counts.join(F.broadcast(W.recall(found, visitors, after, k).select((F.col("recall") >= 0.9).alias("recall_ok"))))
+    return counts.withColumn("recall_ok", F.lit(W.recall(found, visitors, after, k).first().recall >= 0.9))
 
 
 #: Windows, decays and histories that the rungs narrow down.
