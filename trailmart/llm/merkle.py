@@ -132,8 +132,9 @@ def descend(tiers: list[DataFrame], above: DataFrame) -> DataFrame:
 
 
 def manifest(
-    docs: DataFrame, key: str = "doc_id", group: str = "lang", fields: Sequence[str] = FIELDS, changed: dict[str, Column] | None = None, when: Column | None = None
-) -> DataFrame:
+    docs: DataFrame, key: str = "doc_id", group: str = "lang", fields: Sequence[str] = FIELDS,
+    changed: dict[str, Column] | None = None, when: Column | None = None,
+) -> DataFrame:
     """One row per row of ``docs``: key, leaf, subroot, root, path, found (the leaf as it is found now).
 
     ``path`` has a row's siblings bottom up: side and digest, or nothing where a node has none. ``changed`` gives

@@ -39,7 +39,7 @@ TOP = 2000
 #: Shards of a cycle.
 SHARDS = 3
 #: Text bytes counted at a time in a task.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 #: Slots of the table of reached phrases for each length: a power of two, one byte each.
 SLOTS = 1 << 22
 #: No scan: there are fewer than 255.
