@@ -172,6 +172,18 @@ def test_secret_base_spans_equal_brute_force(spark, documents):
         assert set(listed.split(",")) <= set(r.spans.split(","))
 
 
+def test_keys_of_one_case_behind_a_separator(documents):
+    """No alphabet holds the whole run: its parts are judged."""
+    rng = np.random.default_rng(4)
+    symbols = np.array(list("abcdefghijklmnopqrstuvwxyz0123456789"))
+    keys = ["".join(rng.choice(symbols, 40)) for _ in range(60)]
+    rows = [(i, f"say {'key_' if i % 2 else 'xoxb-1234-'}{k} é") for i, k in enumerate(keys)]
+    rows += [(100 + i, "some-long-hyphenated-words2-here internationalization2-b pneumonoultramicroscopic7/aaaaaaaaaaaaaa_" + "-" * 500) for i in range(100)]
+    got = by_id(secrets_scan.scan(documents(rows)).collect())
+    found = [got[i].spans == f"random:{rows[i][1].index(k)}:{rows[i][1].index(k) + 40}" for i, k in enumerate(keys)]
+    assert sum(found) >= 50 and sum(got[100 + i].n_random for i in range(100)) == 0
+
+
 def test_randomness_battery_finds_keys_and_leaves_words(spark, documents):
     rng = np.random.default_rng(3)
     keys = ["".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), 44)) for _ in range(60)]

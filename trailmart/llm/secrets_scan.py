@@ -3,6 +3,9 @@
 Three fixed patterns give the base spans. Beyond them every run of 16 or more key characters that holds a
 digit gets an inferred encoding (hex, base32, base36, base64) and a battery of randomness tests over that
 alphabet: chi-squared uniformity, runs about the middle of the alphabet, and serial correlation at lag one.
+Where no alphabet holds the whole run (a key of one case behind ``key_`` or between dashes), its parts between
+``- _ + /`` are taken instead, those of 16 or more characters with a digit. What stays untested: shorter runs and
+parts, those without any digit, and those of digits only.
 
 * ``p_random``: three times the smallest of the three p-values under "drawn uniformly". Below
   ``REJECT_RANDOM`` the run is structured and cannot be a finding.
@@ -39,6 +42,8 @@ HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "random")
 
 RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
+#: Parts of a run that has no encoding as a whole.
+PART = r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])[A-Za-z0-9]{16,}+={0,2}"
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Encoding: pattern, alphabet in value order, chance that two symbols of ordinary text agree.
 ENCODINGS = {
@@ -226,7 +231,22 @@ def candidates(text: Column) -> Column:
         core = F.regexp_replace(span["match"], "=+$", "")
         return let(core, lambda c: let(_encoding(c), lambda e: F.when(e.isNotNull(), known(c, e))))
 
-    return F.filter(F.transform(spans(text, RUN, "random"), judged), lambda c: c.isNotNull())
+    def parts(run):
+        """Judged parts of a run, placed in the text."""
+        inside = spans(run["match"], PART, "random")
+        at = F.transform(
+            inside,
+            lambda p: F.struct((run["start"] + p["start"]).alias("start"), (run["start"] + p["end"]).alias("end"), p["match"].alias("match")),
+        )
+        return F.transform(at, judged)
+
+    def split(runs):
+        whole = F.transform(runs, lambda r: r["found"])
+        unfit = F.filter(runs, lambda r: r["found"].isNull())
+        return F.filter(F.concat(whole, F.flatten(F.transform(unfit, lambda r: parts(r["run"])))), lambda c: c.isNotNull())
+
+    runs = F.transform(spans(text, RUN, "random"), lambda r: F.struct(r.alias("run"), judged(r).alias("found")))
+    return let(runs, split)
 
 
 def thresholds(found: DataFrame, rate: float = FALSE_DISCOVERIES) -> DataFrame:
