@@ -192,14 +192,67 @@ def test_shards_on_odd_rows(documents):
     assert {r.shard for r in sharding.shards(documents(ODD), target_bytes=10**9).collect()} == {0}
 
 
+def cut_in_turn(rows, leaves, widths, first=0):
+    """Leaf of every row by exact weighted medians: rows are (place in each dimension, size)."""
+    if leaves == 1 or not rows:
+        return dict.fromkeys(rows, first)
+    spread = [(max(r[0][i] for r in rows) - min(r[0][i] for r in rows)) / w for i, w in enumerate(widths)]
+    d = spread.index(max(spread))
+    weight = collections.Counter()
+    for at, size in rows:
+        weight[at[d]] += size
+    half = leaves // 2
+    wanted, below = sum(weight.values()) * half / leaves, 0
+    for place in sorted(weight):
+        if below + weight[place] >= wanted:
+            break
+        below += weight[place]
+    cut = place if wanted - below < below + weight[place] - wanted else place + 1
+    low, high = [r for r in rows if r[0][d] < cut], [r for r in rows if r[0][d] >= cut]
+    return cut_in_turn(low, half, widths, first) | cut_in_turn(high, leaves - half, widths, first + half)
+
+
+@pytest.mark.parametrize("leaves", [2, 5, 40])
+def test_tree_equals_cuts_in_turn(spark, monkeypatch, leaves):
+    monkeypatch.setattr(sharding, "TOLERANCE", 0.0)
+    monkeypatch.setattr(sharding, "BINS", 8)
+    rng = np.random.default_rng(leaves)
+    at = np.stack([rng.integers(0, 10, 600) * 1000 + np.arange(600), (rng.pareto(1, 600) * 1000).astype(int) % 10**9], 1)
+    rows = [(tuple(map(int, a)), int(w)) for a, w in zip(at, rng.integers(1, 100, 600))]
+    df = spark.createDataFrame([(*a, w) for a, w in rows], "d0 long, d1 long, size long")
+    widths = [max(1.0, float(np.ptp(at[:, i]))) for i in range(2)]
+    found = {((r.d0, r.d1), r["size"]): r.node for r in sharding.tree(df, 2, leaves).collect()}
+    assert found == cut_in_turn(rows, leaves, widths)
+
+
 def test_tree_splits_the_widest_dimension(spark):
-    rows = spark.range(4000).selectExpr("id as key", "id % 10 as d0", "id * 1000 as d1", "1L as size")
-    root = sharding.tree(rows, 2, 4)
-    assert root.dimension in (0, 1) and root.below.leaves == root.above.leaves == 2
-    placed = rows.select(root.rule().alias("s")).groupBy("s").count().collect()
+    rows = spark.range(4000).selectExpr("id as key", "id % 10 as d0", "id * 1000 as d1", "1L as size", "0L as node", "4L as leaves")
+    root = sharding.medians(rows, 2, [9.0, 3999000.0]).collect()
+    assert len(root) == 1 and root[0].dimension == 0 and root[0].half == 2
+    root = sharding.medians(rows, 2, [90.0, 3999000.0]).collect()
+    assert root[0].dimension == 1
+    placed = sharding.tree(rows.drop("node", "leaves"), 2, 4).groupBy("node").count().collect()
     assert len(placed) == 4 and max(r["count"] for r in placed) <= 1500
 
 
+def test_tree_of_many_leaves(documents):
+    rows = sharding.shards(documents([(i, "word " * (i % 37)) for i in range(1000)]), leaves=400).collect()
+    size = collections.Counter()
+    for r in rows:
+        size[r.shard] += r["size"]
+    assert len(rows) == 1000 and set(size) <= set(range(400)) and len(size) > 380
+    assert max(size.values()) <= 3 * sum(size.values()) / 400
+
+
+def test_written_shards_hold_every_row(spark, documents, tmp_path):
+    docs = documents(ODD + [(3, "other"), (None, "a b")])
+    sharding.write_shards(docs, str(tmp_path / "out"), leaves=3)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert set(back.columns) == set(docs.columns)
+    assert collections.Counter((r.doc_id, r.text) for r in back.collect()) == collections.Counter((r.doc_id, r.text) for r in docs.collect())
+    assert {r.shard for r in back.select("shard").distinct().collect()} <= {0, 1, 2}  # one text is most of the bytes
+
+
 # Embeddings
 
 

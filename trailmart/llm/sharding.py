@@ -2,26 +2,28 @@
 
 Every row becomes a point of whole numbers, one per dimension: the value in the high bits and the row's own
 tie-breaker in the low bits, so that a third of all rows with one source, size or text can still be cut.
-Texts take no part beyond the first scan. A level of the tree is a few small aggregations over all rows at
-once: the extent of every node, then counts of bytes per bin of the node's widest dimension, narrowed until
-the median is met within ``TOLERANCE`` of the node's bytes. The driver sees at most ``BINS`` sums for each
-node; a node's rule is a column expression, so nothing is moved until the leaves are numbered.
+Texts take no part beyond the first scan. A point carries its node, named by the node's first leaf and its
+number of leaves; a level of the tree is a table with one row per node, joined to the points by adaptive
+planning (few nodes: broadcast after a check of their size; many: a node is a small share of the rows).
+Per level a small aggregation finds the extent of every node, then counts of bytes per bin of the node's widest
+dimension are narrowed until the median is met within ``TOLERANCE`` of the node's bytes. Extents, bins and cuts
+stay in Spark; the driver sees the extent of the root and whether a node is still open. Levels go with the
+logarithm of the leaves, looks per level are at most seven.
 
 A node of k leaves gives floor(k/2) : k - floor(k/2) of its bytes to its sides, so all leaves get the same
 share whatever their number.
 
 Defined results: a null text has no bytes and weighs 16; null dimensions are the lowest value; null or
-repeated keys are placed like others; an empty table gives an empty result. Slots are gapless from 0.
+repeated keys are placed like others; an empty table gives an empty result; with more leaves than rows some
+leaves stay empty. Slots are gapless from 0.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import written
+from .frames import fresh, written
 
 ROW_BYTES = 16
 BINS = 1024
@@ -30,27 +32,6 @@ CHUNK_ROWS = 50_000
 LOW_BITS = 32
 
 
-@dataclass
-class Node:
-    first: int
-    leaves: int
-    dimension: int | None = None
-    cut: int | None = None
-    below: Node | None = None
-    above: Node | None = None
-
-    def open_nodes(self) -> list[Node]:
-        if self.below:
-            return self.below.open_nodes() + self.above.open_nodes()
-        return [self] if self.leaves > 1 else []
-
-    def rule(self) -> Column:
-        """The first leaf of the node a row falls in."""
-        if self.below is None:
-            return F.lit(self.first)
-        return F.when(F.col(f"d{self.dimension}") < F.lit(self.cut), self.below.rule()).otherwise(self.above.rule())
-
-
 def coordinate(df: DataFrame, name: str) -> Column:
     """A value as a whole number from 0 to 2^30: numbers by size, other values by their checksum."""
     kind = dict(df.dtypes)[name]
@@ -78,65 +59,78 @@ def points(docs: DataFrame, dimensions: list[str], key: str, text: str) -> DataF
     return written(rows.select("key", "size", "text_crc32", "tie", *at), "points")
 
 
-def _medians(rows: DataFrame, nodes: list[Node], extents: dict, totals: dict) -> None:
-    """Set the cut of every node: bins of its dimension, narrowed around the wanted share of its bytes."""
-    state = {n.first: [*extents[n.first][n.dimension], 0.0] for n in nodes}  # low, high, bytes below low
-    todo = {n.first: n for n in nodes}
-    while todo:
-        place = F.lit(None).cast("struct<node:int,bin:int,at:bigint>")
-        steps = {}
-        for first, n in todo.items():
-            low, high, _ = state[first]
-            steps[first] = step = max(1, -(-(high - low + 1) // BINS))
-            at = F.col(f"d{n.dimension}")
-            made = F.struct(
-                F.lit(first).alias("node"), F.floor((at - low) / F.lit(step)).cast("int").alias("bin"), at.alias("at")
-            )
-            place = F.when((F.col("node") == first) & (at >= low) & (at <= high), made).otherwise(place)
-        sums = (
-            rows.select(place.alias("p"), "size")
-            .where("p is not null")
-            .groupBy("p.node", "p.bin")
-            .agg(F.sum("size").alias("weight"), F.min("p.at").alias("low"), F.max("p.at").alias("high"))
-            .collect()
-        )
-        for first, n in list(todo.items()):
-            below = state[first][2]
-            wanted = totals[first] * (n.leaves // 2) / n.leaves
-            for r in sorted((r for r in sums if r.node == first), key=lambda r: r.bin):
-                if below + r.weight >= wanted:
-                    break
-                below += r.weight
-            if r.low == r.high or r.weight <= TOLERANCE * totals[first]:
-                n.cut = r.low if wanted - below < below + r.weight - wanted else r.high + 1
-                del todo[first]
-            else:
-                state[first] = [r.low, r.high, below]
-
-
-def tree(rows: DataFrame, dimensions: int, leaves: int) -> Node:
-    root = Node(0, leaves)
-    width: list[float] = []
-    while open_nodes := root.open_nodes():
-        placed = rows.withColumn("node", root.rule())
-        ends = [f(f"d{i}").alias(f"{n}{i}") for i in range(dimensions) for n, f in (("lo", F.min), ("hi", F.max))]
-        found = {r.node: r for r in placed.groupBy("node").agg(F.sum("size").alias("total"), *ends).collect()}
-        extents = {k: [(r[f"lo{i}"], r[f"hi{i}"]) for i in range(dimensions)] for k, r in found.items()}
-        if not width and extents:
-            width = [max(1.0, float(hi - lo)) for lo, hi in extents[0]]
-        cut = []
-        for n in open_nodes:
-            if n.first in extents:
-                spread = [(hi - lo) / w for (lo, hi), w in zip(extents[n.first], width)]
-                n.dimension = max(range(dimensions), key=lambda i: (spread[i], -i))
-                cut.append(n)
-            else:  # no row falls here
-                n.dimension, n.cut = 0, 0
-        _medians(placed, cut, extents, {k: r.total for k, r in found.items()})
-        for n in open_nodes:
-            half = n.leaves // 2
-            n.below, n.above = Node(n.first, half), Node(n.first + half, n.leaves - half)
-    return root
+def _extents(rows: DataFrame, dimensions: int, widths: list[float]) -> DataFrame:
+    """One row per node that is to be cut: its widest dimension, the ends of that, the bytes wanted below the cut."""
+    ends = [f(f"d{i}").alias(f"{n}{i}") for i in range(dimensions) for n, f in (("lo", F.min), ("hi", F.max))]
+    found = rows.where("leaves > 1").groupBy("node", "leaves").agg(F.sum("size").alias("total"), *ends)
+    spread = F.array(*[(F.col(f"hi{i}") - F.col(f"lo{i}")) / F.lit(w) for i, w in enumerate(widths)])
+    found = found.withColumn("dimension", (F.array_position(spread, F.array_max(spread)) - 1).cast("int"))
+    return found.select(
+        "node",
+        "dimension",
+        F.floor(F.col("leaves") / 2).alias("half"),
+        "total",
+        (F.col("total") * (F.floor(F.col("leaves") / 2) / F.col("leaves"))).alias("wanted"),
+        _chosen("lo", dimensions).alias("low"),
+        _chosen("hi", dimensions).alias("high"),
+        F.lit(0).cast("bigint").alias("below"),
+    )
+
+
+def _chosen(prefix: str, dimensions: int) -> Column:
+    """The column of the node's dimension."""
+    return F.coalesce(*[F.when(F.col("dimension") == i, F.col(f"{prefix}{i}")) for i in range(dimensions)])
+
+
+def _look(rows: DataFrame, state: DataFrame, dimensions: int) -> DataFrame:
+    """The bin of each node that holds its median, with the bytes below it, and the cut where the bin is narrow enough."""
+    asked = state.select("node", "dimension", "low", "high", F.expr(f"(high - low + {BINS}) div {BINS}").alias("step"))
+    at = rows.join(asked, "node").withColumn("at", _chosen("d", dimensions)).where("at between low and high")
+    sums = at.groupBy("node", F.expr("cast((at - low) div step as int)").alias("bin")).agg(
+        F.sum("size").alias("weight"), F.min("at").alias("bin_low"), F.max("at").alias("bin_high")
+    )
+    upto = Window.partitionBy("node").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = sums.withColumn("upto", F.sum("weight").over(upto)).join(state, "node").withColumn("upto", F.col("below") + F.col("upto"))
+    met = sums.where("upto >= wanted").groupBy("node").agg(
+        F.min_by(F.struct("dimension", "half", "total", "wanted", "weight", "bin_low", "bin_high", "upto"), "bin").alias("m")
+    )
+    met = met.select("node", "m.*").withColumn("below", F.col("upto") - F.col("weight"))
+    narrow = (F.col("bin_low") == F.col("bin_high")) | (F.col("weight") <= TOLERANCE * F.col("total"))
+    nearer = F.when(F.col("wanted") - F.col("below") < F.col("upto") - F.col("wanted"), F.col("bin_low")).otherwise(F.col("bin_high") + 1)
+    return met.select(
+        "node", "dimension", "half", "total", "wanted", F.col("bin_low").alias("low"), F.col("bin_high").alias("high"), "below",
+        F.when(narrow, nearer).alias("cut"),
+    )
+
+
+def medians(rows: DataFrame, dimensions: int, widths: list[float]) -> DataFrame:
+    """node, dimension, half, cut of every node of more than one leaf; each narrowing is a written table."""
+    state, found = written(_extents(rows, dimensions, widths), "extents"), None
+    while not state.isEmpty():
+        looked = written(_look(rows, state, dimensions), "look")
+        cuts = looked.where("cut is not null").select("node", "dimension", "half", "cut")
+        found = cuts if found is None else found.unionByName(cuts)
+        state = looked.where("cut is null").drop("cut")
+    return found
+
+
+def tree(rows: DataFrame, dimensions: int, leaves: int) -> DataFrame:
+    """``rows`` with the leaf they fall in as ``node``; one level of the tree after the other, each written once."""
+    ends = [f(f"d{i}") for i in range(dimensions) for f in (F.min, F.max)]
+    extent = rows.agg(*ends).first()
+    placed = rows.withColumns({"node": F.lit(0).cast("bigint"), "leaves": F.lit(leaves).cast("bigint")})
+    if extent[0] is None:
+        return placed
+    widths = [max(1.0, float(extent[2 * i + 1] - extent[2 * i])) for i in range(dimensions)]
+    largest = leaves
+    while largest > 1:
+        cut = placed.join(medians(placed, dimensions, widths), "node", "left")
+        above = F.coalesce(_chosen("d", dimensions) >= F.col("cut"), F.lit(False))
+        side = F.when(above, F.col("leaves") - F.col("half")).otherwise(F.coalesce("half", "leaves"))
+        moved = {"node": F.col("node") + F.when(above, F.col("half")).otherwise(F.lit(0)), "leaves": side}
+        placed = written(cut.withColumns(moved).select(placed.columns), "level")
+        largest -= largest // 2
+    return placed
 
 
 def shards(
@@ -153,7 +147,7 @@ def shards(
     seen = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("s")).first()
     if leaves is None:
         leaves = max(1, -(-seen.s // (target_bytes or 1 << 30)))
-    placed = rows.withColumn("shard", tree(rows, depth, leaves).rule().cast("int"))
+    placed = tree(rows, depth, leaves).withColumn("shard", F.col("node").cast("int"))
     # A shard is numbered in chunks of bounded size, so that no task sorts a whole one.
     chunks = max(1, -(-seen.n // (leaves * CHUNK_ROWS)))
     placed = placed.withColumn("chunk", F.pmod("tie", F.lit(chunks)).cast("int"))
@@ -167,8 +161,21 @@ def shards(
     )
 
 
-def write_shards(docs: DataFrame, path: str, placed: DataFrame, key: str = "doc_id") -> None:
-    """The documents as one folder per shard, rows in slot order inside each file. Needs unique keys."""
-    docs.join(placed.select(key, "shard", "slot"), key).repartition("shard", F.floor(F.col("slot") / CHUNK_ROWS)).sortWithinPartitions(
-        "shard", "slot"
-    ).write.partitionBy("shard").parquet(path)
+def write_shards(
+    docs: DataFrame,
+    path: str,
+    leaves: int | None = None,
+    target_bytes: int | None = None,
+    dimensions: tuple[str, ...] = ("lang", "source"),
+    text: str = "text",
+) -> None:
+    """All rows as one folder per shard, in slot order inside each file; a column named ``shard`` gives way to the folder's.
+
+    Rows are numbered in a copy that is written first, so null and repeated keys are written as often as they come.
+    """
+    row, slot = fresh(docs, "_row"), fresh(docs, "_slot")
+    docs = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    placed = shards(docs, leaves, target_bytes, dimensions, row, text).select(row, "shard", F.col("slot").alias(slot))
+    docs.drop("shard").join(placed, row).repartition("shard", F.floor(F.col(slot) / CHUNK_ROWS)).sortWithinPartitions(
+        "shard", slot
+    ).drop(row, slot).write.partitionBy("shard").parquet(path)
