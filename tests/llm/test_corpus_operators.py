@@ -219,7 +219,7 @@ def test_tree_equals_cuts_in_turn(spark, monkeypatch, leaves):
     rng = np.random.default_rng(leaves)
     at = np.stack([rng.integers(0, 10, 600) * 1000 + np.arange(600), (rng.pareto(1, 600) * 1000).astype(int) % 10**9], 1)
     rows = [(tuple(map(int, a)), int(w)) for a, w in zip(at, rng.integers(1, 100, 600))]
-    df = spark.createDataFrame([(*a, w) for a, w in rows], "d0 long, d1 long, size long")
+    df = spark.createDataFrame([(*a, w, 0) for a, w in rows], "d0 long, d1 long, size long, node long")
     widths = [max(1.0, float(np.ptp(at[:, i]))) for i in range(2)]
     found = {((r.d0, r.d1), r["size"]): r.node for r in sharding.tree(df, 2, leaves).collect()}
     assert found == cut_in_turn(rows, leaves, widths)
@@ -231,7 +231,7 @@ def test_tree_splits_the_widest_dimension(spark):
     assert len(root) == 1 and root[0].dimension == 0 and root[0].half == 2
     root = sharding.medians(rows, 2, [90.0, 3999000.0]).collect()
     assert root[0].dimension == 1
-    placed = sharding.tree(rows.drop("node", "leaves"), 2, 4).groupBy("node").count().collect()
+    placed = sharding.tree(rows.drop("leaves"), 2, 4).groupBy("node").count().collect()
     assert len(placed) == 4 and max(r["count"] for r in placed) <= 1500
 
 

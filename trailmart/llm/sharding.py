@@ -44,7 +44,7 @@ def coordinate(df: DataFrame, name: str) -> Column:
 
 
 def points(docs: DataFrame, dimensions: list[str], key: str, text: str) -> DataFrame:
-    """Key, size, checksum and coordinates of every row, written once."""
+    """Key, size, checksum, coordinates and node (the root) of every row, written once."""
     body = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
     tie = F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit((1 << LOW_BITS) - 1))
     rows = docs.select(
@@ -56,7 +56,8 @@ def points(docs: DataFrame, dimensions: list[str], key: str, text: str) -> DataF
         *[coordinate(docs, d).alias(f"v{i}") for i, d in enumerate(dimensions, 1)],
     )
     at = [(F.shiftleft(f"v{i}", LOW_BITS) + F.col("tie")).alias(f"d{i}") for i in range(len(dimensions) + 1)]
-    return written(rows.select("key", "size", "text_crc32", "tie", *at), "points")
+    root = F.lit(0).cast("bigint").alias("node")
+    return written(rows.select("key", "size", "text_crc32", "tie", *at, root), "points")
 
 
 def _extents(rows: DataFrame, dimensions: int, widths: list[float]) -> DataFrame:
@@ -115,10 +116,10 @@ def medians(rows: DataFrame, dimensions: int, widths: list[float]) -> DataFrame:
 
 
 def tree(rows: DataFrame, dimensions: int, leaves: int) -> DataFrame:
-    """``rows`` with the leaf they fall in as ``node``; one level of the tree after the other, each written once."""
+    """``rows``, all at node 0, with the leaf they fall in as ``node``; one level of the tree after the other, each written once."""
     ends = [f(f"d{i}") for i in range(dimensions) for f in (F.min, F.max)]
     extent = rows.agg(*ends).first()
-    placed = rows.withColumns({"node": F.lit(0).cast("bigint"), "leaves": F.lit(leaves).cast("bigint")})
+    placed = rows.withColumn("leaves", F.lit(leaves).cast("bigint"))
     if extent[0] is None:
         return placed
     widths = [max(1.0, float(extent[2 * i + 1] - extent[2 * i])) for i in range(dimensions)]
