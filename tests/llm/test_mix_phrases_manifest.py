@@ -12,6 +12,7 @@ from conftest_llm import ODD
 from pyspark.sql import functions as F
 
 from trailmart.llm import merkle, mixing, phrases, queries, running
+from trailmart.llm.frames import written
 
 SMALL = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -187,6 +188,31 @@ def test_phrases_with_one_hash_are_told_apart(spark):
     assert sorted((r["lang"], r["phrase"], r["n"]) for r in got) == [("de", "a b", 1), ("en", "a b", 1), ("en", "b a", 2)]
 
 
+def test_scans_move_numbers_only(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(phrases, "written", lambda df, name: (seen.append((name, df.dtypes)), written(df, name))[1])
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(40)
+    assert phrases.frequent(docs, threshold=9, shards=2).where("k > 1").count() > 0
+    states = [types for name, types in seen if name == "state"]
+    assert len(states) > 4 and {kind for types in states for _, kind in types} <= {"int", "bigint"}
+
+
+def test_phrases_with_one_hash_are_counted_by_words():
+    import pyarrow as pa
+
+    chunk = phrases.Chunk(pa.array(["en", "de"]), pa.array(["b a b a. b", "a b"]))
+    chunk.hash[:] = 0
+    reached = phrases.Reached(1)
+    reached.scan[0] = 0
+    rows = [r for batch in phrases._by_hash(chunk, 1, 1, reached, [2]) for r in batch.to_pylist()]
+    assert [(r["k"], r["active"], r["n"]) for r in rows] == [(2, 1, 4)]
+    reached.scan[1] = 1
+    got = [r for batch in phrases._by_words(chunk, reached) for r in batch.to_pylist()]
+    want = [("de", 0, "", 2), ("de", 1, "a", 1), ("de", 1, "b", 1), ("de", 2, "a b", 1)]
+    want += [("en", 0, "", 5), ("en", 1, "a", 2), ("en", 1, "b", 3), ("en", 2, "a b", 1), ("en", 2, "b a", 2)]
+    assert sorted((r["lang"], r["k"], r["phrase"], r["n"]) for r in got) == want
+
+
 def test_long_counts_are_exact(spark):
     rows = [("en", 0, "", 9_000_000_000_000_000), ("en", 1, "a", 3_000_000_000_000), ("en", 1, "b", 2_000_000_000_001), ("en", 2, "a b", 1_999_999_999_999)]
     got = phrases.scored(spark.createDataFrame(rows, "lang string, k int, phrase string, n long")).first()

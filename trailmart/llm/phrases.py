@@ -12,6 +12,10 @@ so all counts are exact whatever the hashes do, and with more reached phrases th
 vain. Counts are summed in each task, then over all tasks, and added to the state, a table; phrases that complete
 their cycle below the threshold leave it. Whatever the number of shards, the counts are those of the whole table.
 
+Nearly all phrases that are counted stay below the threshold, so the scans count hashes of 64 bits and move no text.
+Phrases with one hash count together there, which never takes one below its own count. One last scan of all shards
+counts the phrases in reached slots by their words; only its counts are returned, and no hash decides them.
+
 Defined results: a null language is ``und``; a null text has no words; phrases end at ``[.,;:!?\\x0A-\\x0D]`` and at the
 end of a text, words at ``[\\x20\\x09]``; repeated rows count each time; an empty table, or one without a phrase at the
 threshold, gives no rows. Ties in the score go to the larger count, then to the phrase in UTF-8 order. Other columns
@@ -21,6 +25,7 @@ are not read. A very long text is counted in one piece of memory of some twenty
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -49,9 +54,8 @@ RANK_PARTS = 64
 
 PIECE_ENDS = b".,;:!?\n\v\f\r"
 WORDS = byte_table(PIECE_ENDS + b" \t")
-#: Words of phrases that are counted already: only blanks separate.
-SPELLED = byte_table(b" ", lower=False)
 ENDS = np.isin(np.arange(256), list(PIECE_ENDS))
+HASHED = "k int, hash long, active int, n long"
 COUNTED = "lang string, k int, phrase string, active int, n long"
 
 
@@ -77,11 +81,8 @@ class Chunk:
         starts, ends, text = boundaries(coded, at)
         self.langs = langs.dictionary_encode()
         self.lang = self.langs.indices.to_numpy(zero_copy_only=False)[text]
-        spelled = (coded[coded != 0] - 1).astype(np.uint8)
-        offsets = np.zeros(len(starts) + 1, np.int64)
-        np.cumsum(ends - starts, out=offsets[1:])
         self.numbered: pa.DictionaryArray | None = None
-        self.words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(spelled)])
+        self.coded, self.lengths = coded, ends - starts
         self.hash = mixed(hashes(coded, starts, ends) + _lang_hashes(self.langs.dictionary)[self.lang])
         # Words up to the end of the piece, from each word on, counted up to LONGEST.
         passed = np.zeros(len(data) + 1, np.int32)
@@ -94,6 +95,20 @@ class Chunk:
             if n > 0:
                 self.room[:n] += goes_on[k - 2 :] & (self.room[:n] == k - 1)
 
+    @cached_property
+    def words(self) -> pa.Array:
+        spelled = (self.coded[self.coded != 0] - 1).astype(np.uint8)
+        offsets = np.zeros(len(self.lengths) + 1, np.int64)
+        np.cumsum(self.lengths, out=offsets[1:])
+        return pa.Array.from_buffers(pa.large_string(), len(self.lengths), [None, pa.py_buffer(offsets), pa.py_buffer(spelled)])
+
+    def phrases(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each length: hashes of the phrases from each word on, and whether the piece goes on that far."""
+        whole = self.hash
+        for k in range(1, longest + 1):
+            whole = _longer(whole, self.hash, k) if k > 1 else whole
+            yield k, whole, self.room[: len(whole)] >= k
+
     def totals(self) -> pa.RecordBatch:
         n = np.bincount(self.lang, minlength=len(self.langs.dictionary))
         return _counted(self.langs.dictionary, 0, pa.array([""] * len(n)), np.zeros(len(n), np.int32), n)
@@ -121,6 +136,12 @@ class Chunk:
         return _counted(self.langs.dictionary.take(pa.array(rows[0][first])), k, phrase, active[first], n)
 
 
+def _hashed(k: int, keys: np.ndarray, active: int) -> pa.RecordBatch:
+    found = pc.value_counts(pa.array(keys.view(np.int64)))
+    same = [pa.array(np.full(len(found), v, np.int32)) for v in (k, active)]
+    return pa.RecordBatch.from_arrays([same[0], found.field("values"), same[1], found.field("counts")], ["k", "hash", "active", "n"])
+
+
 def _counted(lang: pa.Array, k: int, phrase: pa.Array, active: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     columns = [lang.cast(pa.string()), pa.array(np.full(len(n), k, np.int32)), phrase.cast(pa.string()), pa.array(active), pa.array(n)]
     return pa.RecordBatch.from_arrays(columns, ["lang", "k", "phrase", "active", "n"])
@@ -134,7 +155,7 @@ class Reached:
 
     def __init__(self, slots: int):
         self.slots = slots
-        self.scan = np.full((LONGEST - 1) * slots, NEVER, np.uint8)
+        self.scan = np.full(LONGEST * slots, NEVER, np.uint8)
 
     def __getstate__(self) -> tuple:
         at = np.flatnonzero(self.scan != NEVER)
@@ -149,15 +170,9 @@ class Reached:
 
     def add(self, state: DataFrame, scan: int) -> None:
         """Slots of the phrases that ``state`` has as reached in ``scan``."""
-        slots = self.slots
-
-        def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                at = (_phrase_hashes(batch) & np.uint64(slots - 1)).view(np.int64) + (batch.column("k").to_numpy() - 1) * slots
-                yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(np.int64(1) << (at & 63))], ["word", "bits"])
-
-        new = state.where((F.col("reached") == scan) & (F.col("k") < LONGEST)).select("lang", "phrase", F.col("k").cast("bigint").alias("k"))
-        rows = new.mapInArrow(places, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+        new = state.where(F.col("reached") == scan)
+        at = new.select((F.col("hash").bitwiseAND(F.lit(self.slots - 1)) + (F.col("k") - 1).cast("bigint") * self.slots).alias("at"))
+        rows = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(at & 63))")).alias("bits"))
         table = rows.toArrow()  # at most one row for 64 slots
         bits = table.column("bits").to_numpy().view(np.uint64)
         at = table.column("word").to_numpy()[:, None] * 64 + np.arange(64)
@@ -165,61 +180,71 @@ class Reached:
         self.scan[at[self.scan[at] == NEVER]] = scan
 
 
-def _phrase_hashes(batch: pa.RecordBatch) -> np.ndarray:
-    """Hashes of the phrases in a batch of the state, as ``Chunk`` and ``_longer`` make them."""
-    data, at = flat(batch.column("phrase"))
-    coded = SPELLED[data]
-    starts, ends, row = boundaries(coded, at)
-    words = mixed(hashes(coded, starts, ends) + _lang_hashes(batch.column("lang"))[row])
-    first = np.searchsorted(row, np.arange(len(batch)))
-    length = np.bincount(row, minlength=len(batch))
-    found, whole = np.zeros(len(batch), np.uint64), words
-    for k in range(1, LONGEST):
-        whole = _longer(whole, words, k) if k > 1 else words
-        found[length == k] = whole[first[length == k]]
-    return found
-
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
+    def chunk(held: list[pa.RecordBatch]) -> Chunk:
+        table = pa.Table.from_batches(held).combine_chunks()
+        return Chunk(table.column("lang").combine_chunks(), table.column("text").combine_chunks())
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     held, size = [], 0
     for batch in batches:
         held.append(batch)
         size += batch.nbytes
         if size >= CHUNK:
-            yield pa.Table.from_batches(held).combine_chunks()
+            yield chunk(held)
             held, size = [], 0
     if held:
-        yield pa.Table.from_batches(held).combine_chunks()
+        yield chunk(held)
+
+
+def _by_hash(chunk: Chunk, step: int, shards: int, reached: Reached, lengths: Sequence[int]) -> Iterator[pa.RecordBatch]:
+    """(k, hash, active, n): words in the first cycle, and the phrases active in scan ``step``."""
+    shorter = chunk.hash
+    for k, whole, fits in chunk.phrases(max(lengths, default=1)):
+        if k == 1 and step < shards:
+            yield _hashed(1, whole, 0)
+        if k in lengths and len(whole):
+            scan = reached.of(k - 1, shorter[: len(whole) + 1])
+            later = np.where(fits, np.maximum(scan[:-1], scan[1:]), NEVER)
+            # Active from the scan after the later one of both shorter phrases, for one cycle. Each such scan has rows of its
+            # own, so that phrases with one hash have whole cycles.
+            for since in range(max(0, step - shards), step):
+                keys = whole[later == since]
+                if len(keys):
+                    yield _hashed(k, keys, since + 1)
+        shorter = whole
+
+
+def _by_words(chunk: Chunk, reached: Reached) -> Iterator[pa.RecordBatch]:
+    """(lang, k, phrase, active, n): all words of each language, and the phrases in reached slots."""
+    yield chunk.totals()
+    for k, whole, fits in chunk.phrases(LONGEST):
+        places = np.flatnonzero(fits & (reached.of(k, whole) != NEVER))
+        if len(places):
+            yield chunk.counts(k, places, whole[places], np.zeros(len(places), np.int32))
 
 
 def _scan(shard: DataFrame, step: int, shards: int, reached: Broadcast, lengths: Sequence[int]) -> DataFrame:
-    """(lang, k, phrase, active, n), several rows a phrase: words in the first cycle, and the phrases active in this scan.
+    """(k, hash, active, n), several rows a hash: words in the first cycle, and the phrases active in this scan.
 
     ``lengths`` are those that can be active.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _chunks(batches):
-            chunk = Chunk(table.column("lang").combine_chunks(), table.column("text").combine_chunks())
-            n = len(chunk.hash)
-            if not n:
-                continue
-            if step < shards:
-                yield chunk.totals()
-                yield chunk.counts(1, np.arange(n), chunk.hash, np.zeros(n, np.int32))
-            shorter = chunk.hash
-            for k in range(2, max(lengths, default=1) + 1):
-                whole = _longer(shorter, chunk.hash, k)
-                if k in lengths and len(whole):
-                    scan = reached.value.of(k - 1, shorter[: len(whole) + 1])
-                    later = np.maximum(scan[:-1], scan[1:])
-                    # Active from the scan after the later one of both shorter phrases, for one cycle.
-                    places = np.flatnonzero((later != NEVER) & (later + shards >= step) & (chunk.room[: len(whole)] >= k))
-                    if len(places):
-                        yield chunk.counts(k, places, whole[places], later[places].astype(np.int32) + 1)
-                shorter = whole
-
-    return shard.mapInArrow(count, COUNTED)
+        for chunk in _chunks(batches):
+            yield from _by_hash(chunk, step, shards, reached.value, lengths)
+
+    return shard.mapInArrow(count, HASHED)
+
+
+def _exact(dealt: DataFrame, reached: Broadcast, threshold: int) -> DataFrame:
+    """(lang, k, phrase, n) of the phrases that reach the threshold, and of all words as ``k`` 0: counted by words, not hashes."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches):
+            yield from _by_words(chunk, reached.value)
+
+    counts = dealt.select("lang", "text").mapInArrow(count, COUNTED).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+    return counts.where((F.col("k") == 0) | (F.col("n") >= threshold))
 
 
 def _part(phrase: Column, words: Column) -> Column:
@@ -229,15 +254,11 @@ def _part(phrase: Column, words: Column) -> Column:
 
 def _next_state(state: DataFrame, found: DataFrame, step: int, threshold: int, shards: int) -> DataFrame:
     """The state after scan ``step``: counts added, what is reached now, without what has failed."""
-    none = F.lit(None).cast("int")
-    new = found.select("lang", "k", "phrase", "active", none.alias("reached"), "n")
-    rows = state.unionByName(new).groupBy("lang", "k", "phrase").agg(
-        F.min("active").alias("active"), F.max("reached").alias("reached"), F.sum("n").alias("n")
-    )
-    now = F.when((F.col("k") > 0) & (F.col("n") >= threshold), F.lit(step))
-    rows = rows.withColumn("reached", F.coalesce("reached", now))
-    stays = (F.col("active") + (shards - 1) > step) | F.col("reached").isNotNull() | (F.col("k") == 0)
-    return rows.where(stays).select("lang", "k", "phrase", "active", "reached", "n")
+    new = found.select("k", "hash", "active", F.lit(None).cast("int").alias("reached"), "n")
+    rows = state.unionByName(new).groupBy("k", "hash", "active").agg(F.max("reached").alias("reached"), F.sum("n").alias("n"))
+    rows = rows.withColumn("reached", F.coalesce("reached", F.when(F.col("n") >= threshold, F.lit(step))))
+    stays = (F.col("active") + (shards - 1) > step) | F.col("reached").isNotNull()
+    return rows.where(stays).select("k", "hash", "active", "reached", "n")
 
 
 def frequent(
@@ -250,7 +271,7 @@ def frequent(
     rows.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")).write.partitionBy("shard").parquet(path)
     dealt = spark.read.schema("lang string, text string, shard int").parquet(path)
     ship(spark)
-    state = spark.createDataFrame([], "lang string, k int, phrase string, active int, reached int, n long")
+    state = spark.createDataFrame([], "k int, hash long, active int, reached int, n long")
     reached, lengths, step = Reached(slots), [], 0
     # A phrase reached in scan r makes longer ones active from r + 1 to r + shards.
     while step < shards or lengths:
@@ -261,7 +282,7 @@ def frequent(
         step += 1
         recent = state.where((F.col("reached") >= step - shards) & (F.col("k") < LONGEST)).select("k").distinct()
         lengths = sorted(r.k + 1 for r in recent.collect())
-    return state.where("reached is not null or k = 0").select("lang", "k", "phrase", "n")
+    return written(_exact(dealt, spark.sparkContext.broadcast(reached), threshold), "counts")
 
 
 def scored(counts: DataFrame) -> DataFrame:
